@@ -51,3 +51,34 @@ FROM (SELECT event_id,
              unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS ws
       FROM events)
 """
+
+ORACLE["running_holdings"] = f"""
+WITH {OWN}
+SELECT nav_id, user_id, seq, share,
+       CAST(sum(share) OVER (PARTITION BY nav_id, user_id ORDER BY seq
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS holding
+FROM own
+"""
+
+ORACLE["current_holdings"] = f"""
+WITH {OWN}
+SELECT nav_id, user_id, CAST(sum(share) AS BIGINT) AS holding FROM own GROUP BY nav_id, user_id
+"""
+
+ORACLE["portfolio_valuation"] = f"""
+WITH {OWN}, {NAV},
+h AS (SELECT nav_id, user_id, min(seq) AS first_seq FROM own GROUP BY nav_id, user_id)
+SELECT h.user_id, n.nav_id, n.unit_value,
+       n.unit_value * CAST((SELECT sum(o.share) FROM own o
+                            WHERE o.nav_id = n.nav_id AND o.user_id = h.user_id
+                              AND o.seq < n.seq) AS BIGINT) AS new_valuation,
+       n.seq
+FROM nav n JOIN h ON h.nav_id = n.nav_id AND h.first_seq < n.seq
+"""
+
+ORACLE["lot_valuation"] = f"""
+WITH {OWN}, {NAV}
+SELECT n.nav_id, o.user_id, o.share, n.unit_value, n.unit_value * o.share AS new_valuation,
+       n.seq AS nav_seq, o.seq AS lot_seq
+FROM nav n JOIN own o ON o.nav_id = n.nav_id AND o.seq < n.seq
+"""

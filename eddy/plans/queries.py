@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.operators import windowjoin
+from eddy.operators import holdings, windowjoin
 from eddy.sources import tables as T
 
 # The test tables' events are minutes apart, so the
@@ -46,3 +46,27 @@ def window_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("event_id",
                     windowjoin.window_start_us().alias("window_start_us"),
                     F.unix_micros(F.col("window.end")).alias("window_end_us"))
+
+
+@register("running_holdings")
+def running_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: holding after every ownership change."""
+    return holdings.running_holdings(T.own(spark, sf_dir))
+
+
+@register("current_holdings")
+def current_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: holding per (nav, user) over all changes."""
+    return holdings.current_holdings(T.own(spark, sf_dir))
+
+
+@register("portfolio_valuation")
+def portfolio_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each NAV price revalues every holder of that NAV."""
+    return holdings.portfolio_valuation(T.own(spark, sf_dir), T.nav(spark, sf_dir))
+
+
+@register("lot_valuation")
+def lot_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each NAV price revalues every earlier lot of that NAV."""
+    return holdings.lot_valuation(T.own(spark, sf_dir), T.nav(spark, sf_dir))
