@@ -82,3 +82,45 @@ SELECT n.nav_id, o.user_id, o.share, n.unit_value, n.unit_value * o.share AS new
        n.seq AS nav_seq, o.seq AS lot_seq
 FROM nav n JOIN own o ON o.nav_id = n.nav_id AND o.seq < n.seq
 """
+
+TTL_US = 86_400_000_000
+_TX = f"""{DEBIT}, {CREDIT},
+t AS (SELECT trans_id, ts_us, event_id, amount, 'debit' AS side FROM debit
+      UNION ALL SELECT trans_id, ts_us, event_id, amount, 'credit' AS side FROM credit)"""
+
+ORACLE["union_transactions"] = f"""
+WITH {DEBIT}, {CREDIT}
+SELECT trans_id, timestamp, amount, event_id FROM debit
+UNION ALL SELECT trans_id, timestamp, amount, event_id FROM credit
+"""
+
+ORACLE["timeout_toggle"] = f"""
+WITH {_TX}
+SELECT trans_id, m.ts_us AS ts_us, m.event_id AS event_id, m.amount AS amount
+FROM (SELECT trans_id, n,
+             max({{'ts_us': ts_us, 'event_id': event_id, 'n': n, 'amount': amount}}) OVER (
+               PARTITION BY trans_id ORDER BY ts_us
+               RANGE BETWEEN CURRENT ROW AND {TTL_US} FOLLOWING) AS m
+      FROM (SELECT *, row_number() OVER (PARTITION BY trans_id ORDER BY ts_us, event_id) AS n
+            FROM t))
+WHERE n % 2 = 1 AND m.n % 2 = 1
+"""
+
+ORACLE["timeout_clean"] = f"""
+WITH {_TX}
+SELECT trans_id, ts_us, event_id, amount FROM (
+  SELECT *, count(*) OVER (PARTITION BY trans_id, c) AS k,
+         row_number() OVER (PARTITION BY trans_id, c ORDER BY ts_us DESC, event_id DESC) AS r
+  FROM (SELECT *, sum(g) OVER (PARTITION BY trans_id ORDER BY ts_us, event_id) AS c
+        FROM (SELECT *, CASE WHEN ts_us - lag(ts_us) OVER (PARTITION BY trans_id
+                                                           ORDER BY ts_us, event_id)
+                             > {TTL_US} THEN 1 ELSE 0 END AS g FROM t)))
+WHERE r = 1 AND k % 2 = 1
+"""
+
+ORACLE["timeout_sided"] = f"""
+WITH {_TX}
+SELECT trans_id, ts_us, event_id, side, amount FROM t a
+WHERE NOT EXISTS (SELECT 1 FROM t b WHERE b.trans_id = a.trans_id AND b.side <> a.side
+                  AND b.ts_us BETWEEN a.ts_us - {TTL_US} AND a.ts_us + {TTL_US})
+"""

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.operators import holdings, windowjoin
+from eddy.operators import holdings, merge, timeout, windowjoin
 from eddy.sources import tables as T
 
 # The test tables' events are minutes apart, so the
@@ -70,3 +70,37 @@ def portfolio_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lot_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each NAV price revalues every earlier lot of that NAV."""
     return holdings.lot_valuation(T.own(spark, sf_dir), T.nav(spark, sf_dir))
+
+
+# Fixed value: the pairing timeout over the test tables (24 h in microseconds).
+Q_TTL_US = 86_400_000_000
+
+
+def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.union_transactions(T.debit(spark, sf_dir), T.credit(spark, sf_dir),
+                                    extra=("ts_us", "event_id"), side_col="side")
+
+
+@register("union_transactions")
+def union_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Debit and credit narrowed to one transaction shape."""
+    return merge.union_transactions(T.debit(spark, sf_dir), T.credit(spark, sf_dir),
+                                    extra=("event_id",))
+
+
+@register("timeout_toggle")
+def timeout_toggle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 as coded: timers never cancelled, state never cleared."""
+    return timeout.timeout_toggle(_transactions(spark, sf_dir), Q_TTL_US)
+
+
+@register("timeout_clean")
+def timeout_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 as intended: unmatched last arrival of each odd chain."""
+    return timeout.timeout_clean(_transactions(spark, sf_dir), Q_TTL_US)
+
+
+@register("timeout_sided")
+def timeout_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 by side: no partner of the other side within +-ttl."""
+    return timeout.timeout_sided(_transactions(spark, sf_dir), Q_TTL_US)
