@@ -124,3 +124,37 @@ SELECT trans_id, ts_us, event_id, side, amount FROM t a
 WHERE NOT EXISTS (SELECT 1 FROM t b WHERE b.trans_id = a.trans_id AND b.side <> a.side
                   AND b.ts_us BETWEEN a.ts_us - {TTL_US} AND a.ts_us + {TTL_US})
 """
+
+_EV = "event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props"
+
+ORACLE["route_even"] = f"SELECT {_EV} FROM events WHERE event_id % 2 = 0"
+
+ORACLE["route_odd_keyed"] = f"""
+SELECT CAST(trunc(event_id / 2) AS BIGINT) AS key, {_EV} FROM events WHERE event_id % 2 <> 0
+"""
+
+ORACLE["upsert_last_write"] = """
+SELECT user_id, event_type, max(event_id) AS event_id,
+       arg_max(epoch_us(ts), event_id) AS ts_us, arg_max(value, event_id) AS value
+FROM events GROUP BY user_id, event_type
+"""
+
+_TYPES = ("view", "click", "purchase", "signup", "error")
+ORACLE["upsert_ignore_nulls"] = "SELECT user_id, max(event_id) AS event_id, " + ", ".join(
+    f"arg_max(value, event_id) FILTER (WHERE event_type = '{t}') AS {t}_value" for t in _TYPES
+) + " FROM events GROUP BY user_id"
+
+ORACLE["parse_pair"] = "SELECT o_orderkey, o_custkey FROM orders"
+
+ORACLE["parse_nav_update"] = f"WITH {NAV} SELECT seq, nav_id, unit_value FROM nav"
+
+ORACLE["parse_ownership"] = f"WITH {OWN} SELECT seq, nav_id, user_id, share FROM own"
+
+ORACLE["parse_debit"] = f"""
+WITH {DEBIT} SELECT event_id, trans_id, timestamp, account_id, amount FROM debit
+"""
+
+ORACLE["parse_credit"] = f"""
+WITH {CREDIT}
+SELECT event_id, trans_id, timestamp, credit_card_id, holder_name, amount FROM credit
+"""

@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.operators import holdings, merge, timeout, windowjoin
+from eddy.functions import parse
+from eddy.functions.time import epoch_us
+from eddy.operators import holdings, merge, route, timeout, upsert, windowjoin
 from eddy.sources import tables as T
 
 # The test tables' events are minutes apart, so the
@@ -104,3 +106,83 @@ def timeout_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def timeout_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 by side: no partner of the other side within +-ttl."""
     return timeout.timeout_sided(_transactions(spark, sf_dir), Q_TTL_US)
+
+
+def _event_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event as a flat record, time as epoch microseconds."""
+    return T.events(spark, sf_dir).select(
+        "event_id", epoch_us("ts").alias("ts_us"), "user_id", "event_type", "value", "props")
+
+
+@register("route_even")
+def route_even(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with an even id, unchanged."""
+    return route.route_even(_event_record(spark, sf_dir), "event_id")
+
+
+@register("route_odd_keyed")
+def route_odd_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 + P8: events with an odd id, keyed by id div 2."""
+    return route.route_odd_keyed(_event_record(spark, sf_dir), "event_id")
+
+
+@register("upsert_last_write")
+def upsert_last_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: last write per (user_id, event_type) in event_id order."""
+    ev = _event_record(spark, sf_dir)
+    return upsert.upsert_last_write(ev, ["user_id", "event_type"], "event_id",
+                                    ["event_id", "ts_us", "value"])
+
+
+# The event types; each event updates only its own type's field.
+EVENT_TYPES = ("view", "click", "purchase", "signup", "error")
+
+
+@register("upsert_ignore_nulls")
+def upsert_ignore_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: partial records per user (one field per event type); nulls never overwrite."""
+    ev = _event_record(spark, sf_dir)
+    fields = [F.when(F.col("event_type") == t, F.col("value")).alias(f"{t}_value")
+              for t in EVENT_TYPES]
+    partial = ev.select("user_id", "event_id", *fields)
+    return upsert.upsert_ignore_nulls(partial, ["user_id"], "event_id",
+                                      ["event_id"] + [f"{t}_value" for t in EVENT_TYPES])
+
+
+@register("parse_pair")
+def parse_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``"a, b"`` lines to two longs."""
+    lines = T.order_pair_lines(spark, sf_dir)
+    p = lines.select(parse.parse_pair("value", "o_orderkey", "o_custkey").alias("p"))
+    return p.select("p.*")
+
+
+@register("parse_nav_update")
+def parse_nav_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NAV update lines ``nav, unit_value``."""
+    nv = T.nav(spark, sf_dir)
+    lines = nv.select("seq", F.concat_ws(", ", "nav_id", "unit_value").alias("value"))
+    return lines.select("seq", parse.parse_nav_update("value").alias("p")).select("seq", "p.*")
+
+
+@register("parse_ownership")
+def parse_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``nav, user, share`` lines to (nav_id, owning(user_id, share))."""
+    p = T.ownership_lines(spark, sf_dir).select("seq", parse.parse_ownership("value").alias("p"))
+    return p.select("seq", F.col("p.nav_id").alias("nav_id"),
+                    F.col("p.owning.user_id").alias("user_id"),
+                    F.col("p.owning.share").alias("share"))
+
+
+@register("parse_debit")
+def parse_debit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Debit lines, four fields."""
+    return (T.debit_lines(spark, sf_dir)
+            .select("event_id", parse.parse_debit("value").alias("p")).select("event_id", "p.*"))
+
+
+@register("parse_credit")
+def parse_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: credit lines, five fields."""
+    return (T.credit_lines(spark, sf_dir)
+            .select("event_id", parse.parse_credit("value").alias("p")).select("event_id", "p.*"))
