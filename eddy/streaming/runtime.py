@@ -99,3 +99,23 @@ def read_state(spark: SparkSession, checkpoint: str, operator_id: int = 0,
     if state_var:
         r = r.option("stateVarName", state_var)
     return r.load()
+
+
+def start(df: DataFrame, spark: SparkSession, job: str, fmt: str = "parquet",
+          path: str | None = None, output_mode: str = "append",
+          interval: str | None = CHECKPOINT_INTERVAL, options: dict | None = None) -> StreamingQuery:
+    """Start ``df`` with a stable checkpoint under the shared folder.
+
+    Starting again with the same ``job`` resumes from the last committed
+    micro-batch with its state (T11).  ``interval`` paces micro-batches
+    (the reference checkpoints every 20 s); ``None`` runs them back to back.
+    """
+    w = (df.writeStream.format(fmt).outputMode(output_mode).queryName(job)
+         .option("checkpointLocation", checkpoint_location(spark, job)))
+    if path:
+        w = w.option("path", path)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    if interval:
+        w = w.trigger(processingTime=interval)
+    return w.start()
