@@ -14,6 +14,7 @@ sequence column before applying them.
 ``CleanTimeout``     J4 as intended, in event time: rows wait in list
                      state until the watermark passes them, then replay in
                      order, so results do not depend on batch boundaries.
+``SidedTimeout``     J4 by side, in event time, with per-side queues.
 """
 
 from __future__ import annotations
@@ -193,3 +194,82 @@ class CleanTimeout(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+SIDED_SCHEMA = ("trans_id bigint, timestamp bigint, event_id bigint, amount string, "
+                "side string")
+
+
+class SidedTimeout(StatefulProcessor):
+    """J4 by side, keyed by trans_id, event time: arrivals with no arrival
+    of the other side within +-ttl.
+
+    Rows wait until the watermark passes them, then are applied in
+    (timestamp, event_id) order.  Per side, a queue of still-unmatched
+    rows (oldest first) and the time of the latest arrival.  An arrival
+    at ``t`` first emits the other side's queued rows older than
+    ``t - ttl`` (nothing later can reach them), then matches - and drops -
+    the rest of that queue; it is itself matched if the other side's
+    latest arrival is within ttl, else it joins its own queue.  Every row
+    enters and leaves a queue once, so no pairs are ever formed.
+    """
+
+    def __init__(self, ttl_ms: int, sides=("debit", "credit")):
+        self.ttl_ms = int(ttl_ms)
+        self.sides = tuple(sides)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buffer = handle.getListState("buffer", SIDED_SCHEMA)
+        self.queue = {s: handle.getListState(f"queue_{s}", SIDED_SCHEMA) for s in self.sides}
+        self.last = handle.getMapState("last", "side string", "timestamp bigint")
+
+    def _advance(self, wm: int, new: list[tuple]) -> Iterator[Row]:
+        pending = (list(self.buffer.get()) if self.buffer.exists() else []) + new
+        pending.sort(key=lambda t: (t[1], t[2]))
+        ready = [t for t in pending if t[1] < wm]
+        later = [t for t in pending if t[1] >= wm]
+        queue = {s: (list(self.queue[s].get()) if self.queue[s].exists() else [])
+                 for s in self.sides}
+        last = {s: (self.last.getValue((s,)) or (None,))[0] for s in self.sides}
+        out = []
+        for t in ready:
+            side = t[4]
+            other = self.sides[1] if side == self.sides[0] else self.sides[0]
+            q = queue[other]
+            while q and q[0][1] < t[1] - self.ttl_ms:
+                out.append(q.pop(0))
+            q.clear()                                   # all within ttl: matched
+            if last[other] is None or t[1] - last[other] > self.ttl_ms:
+                queue[side].append(t)
+            last[side] = t[1]
+        for s in self.sides:                            # no partner can come any more
+            q = queue[s]
+            while q and q[0][1] + self.ttl_ms < wm:
+                out.append(q.pop(0))
+            if q:
+                self.queue[s].put(q)
+                self.handle.registerTimer(q[0][1] + self.ttl_ms + 1)
+            else:
+                self.queue[s].clear()
+            if last[s] is not None:
+                self.last.updateValue((s,), (last[s],))
+        if later:
+            self.buffer.put(later)
+            for t in later:
+                self.handle.registerTimer(t[1] + 1)
+        else:
+            self.buffer.clear()
+        for t in out:
+            yield Row(trans_id=t[0], timestamp=t[1], event_id=t[2], amount=t[3], side=t[4])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [(r["trans_id"], r["timestamp"], r["event_id"], r["amount"], r["side"])
+               for r in rows]
+        yield from self._advance(timerValues.getCurrentWatermarkInMs(), new)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._advance(timerValues.getCurrentWatermarkInMs(), [])
+
+    def close(self) -> None:
+        pass

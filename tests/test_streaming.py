@@ -183,3 +183,21 @@ def test_fan_out_in_foreach_batch(spark, scratch):
     n = ev.count()
     assert spark.read.parquet(even).count() + spark.read.parquet(odd).count() == n
     assert spark.read.parquet(odd).where("key * 2 + 1 != event_id").count() == 0
+
+
+def test_stream_sided_timeout(spark, scratch):
+    tx = (T.debit(spark, SF_SMOKE).select("trans_id", "timestamp", "event_id", "amount",
+                                          F.lit("debit").alias("side"))
+          .unionByName(T.credit(spark, SF_SMOKE).select("trans_id", "timestamp", "event_id",
+                                                        "amount", F.lit("credit").alias("side"))))
+    ttl_ms = 86_400_000
+    closing = spark.createDataFrame([(-1, 10 ** 13, 10 ** 9, "end", "debit")], tx.schema)
+    path = os.path.join(scratch, "tx")
+    schema = write_chunks(tx, "timestamp", 4, path)
+    closing.coalesce(1).write.mode("append").parquet(path)
+    run_to_memory(jobs.timeout_sided(stream(spark, path, schema), ttl_ms, lag="1 hour"),
+                  "ts_sided", scratch)
+    batch = timeout.timeout_sided(tx, ttl_ms, time_col="timestamp").select(
+        "trans_id", "timestamp", "event_id", "amount", "side")
+    got = [r for r in rows(spark, "ts_sided") if r[0] != -1]
+    assert got == sorted(tuple(r) for r in batch.collect()) and len(got) > 0
