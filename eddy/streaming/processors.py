@@ -15,6 +15,10 @@ sequence column before applying them.
                      state until the watermark passes them, then replay in
                      order, so results do not depend on batch boundaries.
 ``SidedTimeout``     J4 by side, in event time, with per-side queues.
+
+The reference's state never expires.  ``state_ttl_ms`` (holdings,
+portfolio, lots, toggle) gives every state variable a processing-time
+time-to-live; the job then runs in ``processingTime`` mode, which TTL needs.
 """
 
 from __future__ import annotations
@@ -37,11 +41,16 @@ def _price_first(r) -> tuple:
     return (r["seq"], 0 if r["kind"] == "nav" else 1)
 
 
-class RunningHoldings(StatefulProcessor):
+class _Ttl(StatefulProcessor):
+    def __init__(self, state_ttl_ms: int | None = None):
+        self.state_ttl_ms = int(state_ttl_ms) if state_ttl_ms else None
+
+
+class RunningHoldings(_Ttl):
     """A1, keyed by (nav_id, user_id): value state = holding so far."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.holding = handle.getValueState("holding", "holding bigint")
+        self.holding = handle.getValueState("holding", "holding bigint", self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         cur = self.holding.get()
@@ -56,7 +65,7 @@ class RunningHoldings(StatefulProcessor):
         pass
 
 
-class Portfolio(StatefulProcessor):
+class Portfolio(_Ttl):
     """J2, keyed by nav_id over a tagged union (kind 'own' / 'nav').
 
     Map state user_id -> holding.  An ownership change updates one entry
@@ -64,7 +73,8 @@ class Portfolio(StatefulProcessor):
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.holdings = handle.getMapState("holdings", "user_id bigint", "holding bigint")
+        self.holdings = handle.getMapState("holdings", "user_id bigint", "holding bigint",
+                                           self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         for r in sorted(rows, key=_price_first):
@@ -81,11 +91,12 @@ class Portfolio(StatefulProcessor):
         pass
 
 
-class Lots(StatefulProcessor):
+class Lots(_Ttl):
     """J3, keyed by nav_id: list state of (user_id, share, seq) lots."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lots = handle.getListState("lots", "user_id bigint, share bigint, seq bigint")
+        self.lots = handle.getListState("lots", "user_id bigint, share bigint, seq bigint",
+                                        self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         for r in sorted(rows, key=_price_first):
@@ -106,7 +117,7 @@ def _tx_row(t) -> Row:
     return Row(trans_id=t[0], timestamp=t[1], event_id=t[2], amount=t[3])
 
 
-class ToggleTimeout(StatefulProcessor):
+class ToggleTimeout(_Ttl):
     """J4 exactly as coded, keyed by trans_id, processing time.
 
     An arrival on a closed key stores it and arms a timer at now + ttl; an
@@ -114,12 +125,13 @@ class ToggleTimeout(StatefulProcessor):
     emit does not clear the key.
     """
 
-    def __init__(self, ttl_ms: int):
+    def __init__(self, ttl_ms: int, state_ttl_ms: int | None = None):
+        super().__init__(state_ttl_ms)
         self.ttl_ms = int(ttl_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", TRANSACTION_SCHEMA)
+        self.open = handle.getValueState("open", TRANSACTION_SCHEMA, self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs()

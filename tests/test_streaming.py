@@ -201,3 +201,28 @@ def test_stream_sided_timeout(spark, scratch):
         "trans_id", "timestamp", "event_id", "amount", "side")
     got = [r for r in rows(spark, "ts_sided") if r[0] != -1]
     assert got == sorted(tuple(r) for r in batch.collect()) and len(got) > 0
+
+
+def _wait_rows(spark, table, n, timeout_s=120):
+    deadline = time.time() + timeout_s
+    while time.time() < deadline and spark.table(table).count() < n:
+        time.sleep(0.3)
+
+
+def test_state_ttl_expires_holdings(spark, scratch):
+    """With a state TTL, a holding untouched for longer than it starts again from 0."""
+    path = os.path.join(scratch, "own")
+    schema = "nav_id long, user_id long, seq long, share long"
+    spark.createDataFrame([(7, 1, 0, 5)], schema).coalesce(1).write.mode("append").parquet(path)
+    src = stream(spark, path, spark.read.parquet(path).schema)
+    q = (jobs.running_holdings(src, state_ttl_ms=500).writeStream.format("memory")
+         .queryName("ttl_rh").option("checkpointLocation", os.path.join(scratch, "ck"))
+         .trigger(processingTime="200 milliseconds").start())
+    # processAllAvailable does not return for a processing-time query with TTL; poll
+    _wait_rows(spark, "ttl_rh", 1)
+    time.sleep(2)
+    spark.createDataFrame([(7, 1, 1, 2)], schema).coalesce(1).write.mode("append").parquet(path)
+    _wait_rows(spark, "ttl_rh", 2)
+    q.stop()
+    got = sorted((r["seq"], r["holding"]) for r in spark.table("ttl_rh").collect())
+    assert got == [(0, 5), (1, 2)]
