@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eddy.operators.scan import SINGLE_TASK_ROWS, Prefix, block_by_width, prefix_scan
+from eddy.session import materialize
 
 BLOCK_ROWS = 1 << 20
 MODES = ("toggle", "clean", "sided")
@@ -62,13 +63,21 @@ def _blk(c, width: int | None, sign: int = 1):
 
 def timeout_toggle(tx: DataFrame, ttl: int, key: str = "trans_id", time_col: str = "ts_us",
                    id_col: str = "event_id", payload: tuple[str, ...] = ("amount",),
-                   block_rows: int = BLOCK_ROWS, width: int | None = None) -> DataFrame:
-    """J4 as coded (see module doc).  One output row per firing timer."""
+                   block_rows: int = BLOCK_ROWS, width: int | None = None,
+                   cut: bool = True) -> DataFrame:
+    """J4 as coded (see module doc).  One output row per firing timer.
+
+    The numbered arrivals feed both the arrivals and the probes of the
+    second scan; ``cut=True`` writes them once to the shared checkpoint
+    folder (see ``eddy.session.materialize``).
+    """
     w = _width(tx, key, time_col, block_rows, width, rows_per_row=2)
     base = tx.select(key, time_col, id_col, *payload)
     numbered = prefix_scan(base, [key], [time_col, id_col],
                            [Prefix("_n", F.lit(1).cast("bigint"))],
                            block=_blk(time_col, w))
+    if cut:
+        numbered = materialize(numbered)
     # arrivals carry their record; probes stand at the deadline of each opening
     rec = F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("i"),
                    F.col("_n").alias("n"), *[F.col(p) for p in payload])

@@ -27,6 +27,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove materialized checkpoints once their DataFrame is unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # keyed state for transformWithState lives in RocksDB, checkpointed as
     # a changelog (incremental), like the reference's incremental backend
     "spark.sql.streaming.stateStore.providerClass":
@@ -75,6 +77,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the copy.
+
+    A reliable checkpoint (never ``localCheckpoint``): the rows live in
+    ``spark.checkpoint.dir``, so losing an executor later re-reads them
+    instead of recomputing the plan that produced them, and a DataFrame
+    read twice downstream is computed once.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
