@@ -51,3 +51,14 @@ def keyed(key: Column, key_schema_id: int, record: Column, schema_id: int, schem
     if topic:
         cols.append(F.lit(topic).alias("topic"))
     return cols
+
+
+def kafka_batch_writer(bootstrap: str, topic: str, encode):
+    """A ``foreachBatch`` writer: ``encode(batch)`` -> key/value columns -> topic.
+
+    ``encode`` returns the columns, e.g. ``lambda d: value_only(struct(*d.columns), ..)``.
+    """
+    def write(batch: DataFrame) -> None:
+        (batch.select(*encode(batch)).write.format("kafka")
+         .options(**sink_options(bootstrap, topic)).save())
+    return write

@@ -226,3 +226,39 @@ def test_state_ttl_expires_holdings(spark, scratch):
     q.stop()
     got = sorted((r["seq"], r["holding"]) for r in spark.table("ttl_rh").collect())
     assert got == [(0, 5), (1, 2)]
+
+
+def test_route_job(spark, scratch):
+    recs = T.events(spark, SF_SMOKE).select(F.col("event_id").alias("id"), "user_id")
+    path = os.path.join(scratch, "recs")
+    schema = write_chunks(recs, "id", 2, path)
+    even, odd = os.path.join(scratch, "even"), os.path.join(scratch, "odd")
+    q = jobs.route_job(stream(spark, path, schema),
+                       lambda d: d.write.mode("append").parquet(even),
+                       lambda d: d.write.mode("append").parquet(odd),
+                       os.path.join(scratch, "ck"))
+    q.processAllAvailable()
+    q.stop()
+    assert spark.read.parquet(even).where("id % 2 != 0").count() == 0
+    o = spark.read.parquet(odd)
+    assert o.where("key * 2 + 1 != record.id").count() == 0
+    assert spark.read.parquet(even).count() + o.count() == recs.count()
+
+
+def test_table_sink_job(spark, scratch):
+    schema = "id long, name string, age int, title string, offset long"
+    path = os.path.join(scratch, "recs")
+    spark.createDataFrame([(1, "Ann", 30, "Dev", 0), (2, "Bob", 40, "Ops", 1)], schema) \
+        .coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([(1, "Ann", 31, None, 2)], schema) \
+        .coalesce(1).write.mode("append").parquet(path)
+    src = stream(spark, path, spark.read.parquet(path).schema)
+    paths = [os.path.join(scratch, t) for t in ("tuple", "employee", "bean")]
+    q, logs = jobs.table_sink_job(src, *paths, checkpoint=os.path.join(scratch, "ck"))
+    q.processAllAvailable()
+    q.stop()
+    last = sorted(tuple(r) for r in logs["tuple"].read(spark).collect())
+    assert last == [(1, "Ann", 31, None), (2, "Bob", 40, "Ops")]
+    assert sorted(tuple(r) for r in logs["employee"].read(spark).collect()) == last
+    bean = sorted(tuple(r) for r in logs["bean"].read(spark).collect())
+    assert bean == [(1, "Ann", 31, "Dev"), (2, "Bob", 40, "Ops")]
