@@ -1,6 +1,5 @@
 """The checked split decision: with a tiny per-task budget the automatic
 path blocks the scans (width sized from the data) and results stay exact."""
-import random
 
 import eddy.operators.holdings as H
 import eddy.operators.timeout as TO
