@@ -70,8 +70,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="eddy-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:       # some sessions refuse core settings at runtime
+            pass
+    try:
+        sc = spark.sparkContext
+    except Exception:           # no SparkContext (remote session): server-side dir
+        return d
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
