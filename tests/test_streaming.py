@@ -262,3 +262,21 @@ def test_table_sink_job(spark, scratch):
     assert sorted(tuple(r) for r in logs["employee"].read(spark).collect()) == last
     bean = sorted(tuple(r) for r in logs["bean"].read(spark).collect())
     assert bean == [(1, "Ann", 31, "Dev"), (2, "Bob", 40, "Ops")]
+
+
+def test_stream_portfolio_two_sources(spark, scratch):
+    """Two separate inputs sharing one keyed state, batches in seq order."""
+    own, nav = T.own(spark, SF_SMOKE), T.nav(spark, SF_SMOKE)
+    lo, hi = spark.read.parquet(os.path.join(SF_SMOKE, "events.parquet")) \
+        .agg(F.min("event_id"), F.max("event_id")).first()
+    step = (hi - lo) // 3 + 1
+    for name, df in (("own", own), ("nav", nav)):
+        for i in range(3):
+            df.where((F.col("seq") >= lo + i * step) & (F.col("seq") < lo + (i + 1) * step)) \
+                .coalesce(1).write.mode("append").parquet(os.path.join(scratch, name))
+            time.sleep(0.05)
+    so = stream(spark, os.path.join(scratch, "own"), own.schema)
+    sn = stream(spark, os.path.join(scratch, "nav"), nav.schema)
+    run_to_memory(jobs.portfolio_valuation(so, sn), "pv2", scratch)
+    exp = sorted(tuple(r) for r in holdings.portfolio_valuation(own, nav).collect())
+    assert rows(spark, "pv2") == exp and len(exp) > 0
