@@ -5,7 +5,7 @@ a later insert of the same key replaces the row (last write wins).  Its
 annotated-mapper variant skips null fields, so a null never overwrites a
 stored value.  As batch plans:
 
-* ``upsert_last_write``: ``max_by(record, order)`` per key;
+* ``upsert_last_write``: ``max_by(column, order)`` per key and column;
 * ``upsert_ignore_nulls``: per column, the latest *non-null* value.
 
 Both are grouped aggregates with map-side partial aggregation, so a hot
@@ -49,20 +49,29 @@ def _order(order: Sequence[str] | str) -> Column:
 
 def upsert_last_write(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
                       values: Sequence[str]) -> DataFrame:
-    """K8: the latest row per key (ties on ``order`` are the caller's to avoid)."""
-    rec = F.struct(*[F.col(v) for v in values])
-    agg = df.groupBy(*keys).agg(F.max_by(rec, _order(order)).alias("_r"))
-    return agg.select(*keys, *[F.col(f"_r.{v}").alias(v) for v in values])
+    """K8: the latest row per key; ``order`` must not tie within a key.
+
+    One ``max_by(value, order)`` per column: with a single, fixed-width
+    order column every aggregation buffer is fixed-width, so Spark runs a
+    hash aggregate (a struct-valued buffer would force a sort aggregate).
+    With a unique order all columns come from the same, latest row.
+    """
+    o = _order(order)
+    agg = df.groupBy(*keys).agg(*[F.max_by(F.col(v), o).alias(v) for v in values])
+    return agg.select(*keys, *values)
 
 
 def upsert_ignore_nulls(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
                         values: Sequence[str]) -> DataFrame:
-    """K7: per key and column, the latest non-null value (null if none)."""
+    """K7: per key and column, the latest non-null value (null if none).
+
+    ``max_by`` skips rows whose ordering is null, so ordering each column
+    by ``order`` only where the column is set gives its latest non-null
+    value.
+    """
     o = _order(order)
-    aggs = [F.max(F.when(F.col(v).isNotNull(), F.struct(o.alias("o"), F.col(v).alias("v"))))
-            .alias(f"_m_{v}") for v in values]
-    agg = df.groupBy(*keys).agg(*aggs)
-    return agg.select(*keys, *[F.col(f"_m_{v}.v").alias(v) for v in values])
+    aggs = [F.max_by(F.col(v), F.when(F.col(v).isNotNull(), o)).alias(v) for v in values]
+    return df.groupBy(*keys).agg(*aggs).select(*keys, *values)
 
 
 class UpsertLog:
