@@ -39,6 +39,28 @@ BASE_CONF = {
 }
 
 
+# Bytes per task for file splits and for shuffle partitions after AQE
+# coalescing: large enough to amortize task overhead, small enough to sort
+# in executor memory without heavy spilling.
+PARTITION_BYTES = 256 << 20
+
+
+def sizing_conf(input_bytes: int, cores: int, shuffle_fraction: float = 0.25) -> dict:
+    """Partition settings for a job over ``input_bytes`` of parquet.
+
+    ``shuffle_fraction`` estimates the bytes that reach a shuffle after
+    pruning and filtering.  The shuffle starts with enough partitions for
+    ``PARTITION_BYTES`` each and AQE coalesces small ones at runtime.
+    """
+    shuffle_parts = max(2 * cores, -(-int(input_bytes * shuffle_fraction) // PARTITION_BYTES))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "eddy", extra: dict | None = None) -> SparkSession:
     """Return a session with eddy's settings.

@@ -16,6 +16,10 @@ sequence column before applying them.
                      order, so results do not depend on batch boundaries.
 ``SidedTimeout``     J4 by side, in event time, with per-side queues.
 
+Rows travel between the JVM and the Python worker in Arrow batches; only
+the per-record state machine, which is what the reference computes, runs
+row by row.
+
 The reference's state never expires.  ``state_ttl_ms`` (holdings,
 portfolio, lots, toggle) gives every state variable a processing-time
 time-to-live; the job then runs in ``processingTime`` mode, which TTL needs.
