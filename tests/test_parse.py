@@ -57,3 +57,16 @@ def test_parsers_stay_in_the_jvm(spark):
     plan = df.select(parse.parse_pair("value")).select(F.col("*"))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_signs_and_inner_spaces(spark):
+    r = one(spark, "+12,-7", parse.parse_pair("value"))
+    assert (r["first"], r["second"]) == (12, -7)
+    with pytest.raises(PySparkException):
+        one(spark, "1 2, 3", parse.parse_pair("value"))      # inner space is not trimmed
+
+
+def test_empty_middle_field_kept(spark):
+    # JVM split keeps empty fields in the middle: "1,,x,y" has 4 fields
+    r = one(spark, "1,,x,y", parse.parse_debit("value", strict=False))
+    assert r["timestamp"] is None and r["account_id"] == "x" and r["amount"] == "y"
