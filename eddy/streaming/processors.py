@@ -117,6 +117,35 @@ class Lots(_Ttl):
         pass
 
 
+class _Wake:
+    """One outstanding event-time timer per key, kept in value state.
+
+    Registering a timer per buffered row would fire once per row when the
+    watermark jumps, and each firing re-reads the key's buffers.  Instead
+    the processor asks to be woken at the earliest time anything can
+    change, and moves that single timer when the time changes.
+    """
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.handle = handle
+        self.at = handle.getValueState("wake", "at bigint")
+
+    def set(self, when: int | None) -> None:
+        cur = self.at.get()[0] if self.at.exists() else None
+        if cur == when:
+            return
+        if cur is not None:
+            self.handle.deleteTimer(cur)
+        if when is None:
+            self.at.clear()
+        else:
+            self.handle.registerTimer(when)
+            self.at.update((when,))
+
+    def fired(self) -> None:
+        self.at.clear()
+
+
 def _tx_row(t) -> Row:
     return Row(trans_id=t[0], timestamp=t[1], event_id=t[2], amount=t[3])
 
@@ -170,7 +199,7 @@ class CleanTimeout(StatefulProcessor):
         self.ttl_ms = int(ttl_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self.wake = _Wake(handle)
         self.buffer = handle.getListState("buffer", TRANSACTION_SCHEMA)
         self.open = handle.getValueState("open", TRANSACTION_SCHEMA)
 
@@ -189,23 +218,25 @@ class CleanTimeout(StatefulProcessor):
         if opened is not None and wm > opened[1] + self.ttl_ms:
             yield _tx_row(opened)
             opened = None
+        wakes = []
         if opened is None:
             self.open.clear()
         else:
             self.open.update(opened)
-            self.handle.registerTimer(opened[1] + self.ttl_ms + 1)
+            wakes.append(opened[1] + self.ttl_ms + 1)
         if later:
             self.buffer.put(later)
-            for t in later:
-                self.handle.registerTimer(t[1] + 1)
+            wakes.append(later[0][1] + 1)
         else:
             self.buffer.clear()
+        self.wake.set(min(wakes) if wakes else None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [(r["trans_id"], r["timestamp"], r["event_id"], r["amount"]) for r in rows]
         yield from self._advance(timerValues.getCurrentWatermarkInMs(), new)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.wake.fired()
         yield from self._advance(timerValues.getCurrentWatermarkInMs(), [])
 
     def close(self) -> None:
@@ -235,7 +266,7 @@ class SidedTimeout(StatefulProcessor):
         self.sides = tuple(sides)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self.wake = _Wake(handle)
         self.buffer = handle.getListState("buffer", SIDED_SCHEMA)
         self.queue = {s: handle.getListState(f"queue_{s}", SIDED_SCHEMA) for s in self.sides}
         self.last = handle.getMapState("last", "side string", "timestamp bigint")
@@ -259,23 +290,24 @@ class SidedTimeout(StatefulProcessor):
             if last[other] is None or t[1] - last[other] > self.ttl_ms:
                 queue[side].append(t)
             last[side] = t[1]
+        wakes = []
         for s in self.sides:                            # no partner can come any more
             q = queue[s]
             while q and q[0][1] + self.ttl_ms < wm:
                 out.append(q.pop(0))
             if q:
                 self.queue[s].put(q)
-                self.handle.registerTimer(q[0][1] + self.ttl_ms + 1)
+                wakes.append(q[0][1] + self.ttl_ms + 1)
             else:
                 self.queue[s].clear()
             if last[s] is not None:
                 self.last.updateValue((s,), (last[s],))
         if later:
             self.buffer.put(later)
-            for t in later:
-                self.handle.registerTimer(t[1] + 1)
+            wakes.append(later[0][1] + 1)
         else:
             self.buffer.clear()
+        self.wake.set(min(wakes) if wakes else None)
         for t in out:
             yield Row(trans_id=t[0], timestamp=t[1], event_id=t[2], amount=t[3], side=t[4])
 
@@ -285,6 +317,7 @@ class SidedTimeout(StatefulProcessor):
         yield from self._advance(timerValues.getCurrentWatermarkInMs(), new)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.wake.fired()
         yield from self._advance(timerValues.getCurrentWatermarkInMs(), [])
 
     def close(self) -> None:
