@@ -73,7 +73,9 @@ class Portfolio(_Ttl):
     """J2, keyed by nav_id over a tagged union (kind 'own' / 'nav').
 
     Map state user_id -> holding.  An ownership change updates one entry
-    (missing = 0); a price emits one row per entry.
+    (missing = 0); a price emits one row per entry.  Within a micro-batch
+    the map is read once, at the first price, and only changed entries
+    are written back, so state calls do not grow with prices x holders.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -81,37 +83,65 @@ class Portfolio(_Ttl):
                                            self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        loaded = None            # the whole map, once a price needs it
+        changed = {}
         for r in sorted(rows, key=_price_first):
             if r["kind"] == "own":
-                k = (r["user_id"],)
-                cur = self.holdings.getValue(k)
-                self.holdings.updateValue(k, ((cur[0] if cur else 0) + r["share"],))
+                user = r["user_id"]
+                if loaded is not None:
+                    cur = loaded.get(user, 0)
+                elif user in changed:
+                    cur = changed[user]
+                else:
+                    got = self.holdings.getValue((user,))
+                    cur = got[0] if got else 0
+                changed[user] = cur + r["share"]
+                if loaded is not None:
+                    loaded[user] = changed[user]
             else:
-                for (user,), (h,) in self.holdings.iterator():
+                if loaded is None:
+                    loaded = {u: h for (u,), (h,) in self.holdings.iterator()}
+                    loaded.update(changed)
+                for user, h in loaded.items():
                     yield Row(user_id=user, nav_id=r["nav_id"], unit_value=r["unit_value"],
                               new_valuation=r["unit_value"] * h, seq=r["seq"])
+        for user, h in changed.items():
+            self.holdings.updateValue((user,), (h,))
 
     def close(self) -> None:
         pass
 
 
 class Lots(_Ttl):
-    """J3, keyed by nav_id: list state of (user_id, share, seq) lots."""
+    """J3, keyed by nav_id: list state of (user_id, share, seq) lots.
+
+    The list is read once per micro-batch (at the first price) and new
+    lots are appended in one call at the end.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.lots = handle.getListState("lots", "user_id bigint, share bigint, seq bigint",
                                         self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        loaded = None
+        added = []
         for r in sorted(rows, key=_price_first):
             if r["kind"] == "own":
-                self.lots.appendValue((r["user_id"], r["share"], r["seq"]))
-            elif self.lots.exists():
-                for user, share, lot_seq in self.lots.get():
+                lot = (r["user_id"], r["share"], r["seq"])
+                added.append(lot)
+                if loaded is not None:
+                    loaded.append(lot)
+            else:
+                if loaded is None:
+                    loaded = (list(self.lots.get()) if self.lots.exists() else []) + added
+                for user, share, lot_seq in loaded:
                     yield Row(nav_id=r["nav_id"], user_id=user, share=share,
                               unit_value=r["unit_value"],
                               new_valuation=r["unit_value"] * share,
                               nav_seq=r["seq"], lot_seq=lot_seq)
+        if added:
+            self.lots.appendList(added)
 
     def close(self) -> None:
         pass
