@@ -280,3 +280,34 @@ def test_stream_portfolio_two_sources(spark, scratch):
     run_to_memory(jobs.portfolio_valuation(so, sn), "pv2", scratch)
     exp = sorted(tuple(r) for r in holdings.portfolio_valuation(own, nav).collect())
     assert rows(spark, "pv2") == exp and len(exp) > 0
+
+
+def test_portfolio_state_survives_restart(spark, scratch):
+    """own(123,u1,10) nav(123,100) own(123,u2,5) own(123,u1,-3) nav(345,7); stop;
+    restart on the same checkpoint; nav(123,101) revalues both holders."""
+    path = os.path.join(scratch, "in")
+    schema = "nav_id long, user_id long, seq long, share long, unit_value long"
+    first = [(123, 1, 0, 10, None), (123, None, 1, None, 100), (123, 2, 2, 5, None),
+             (123, 1, 3, -3, None), (345, None, 4, None, 7)]
+    spark.createDataFrame(first, schema).coalesce(1).write.mode("append").parquet(path)
+    ck = os.path.join(scratch, "ck")
+    out = os.path.join(scratch, "out")
+
+    def start():
+        src = stream(spark, path, spark.read.parquet(path).schema)
+        own_s = src.where(F.col("user_id").isNotNull())
+        nav_s = src.where(F.col("user_id").isNull())
+        return (jobs.portfolio_valuation(own_s, nav_s).writeStream.format("parquet")
+                .option("path", out).option("checkpointLocation", ck)
+                .trigger(availableNow=True).start())
+
+    q = start()
+    q.awaitTermination(300)
+    before = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert before == [(1, 123, 100, 1000, 1)]
+    spark.createDataFrame([(123, None, 5, None, 101)], schema).coalesce(1) \
+        .write.mode("append").parquet(path)
+    q = start()
+    q.awaitTermination(300)
+    after = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert after == [(1, 123, 100, 1000, 1), (1, 123, 101, 707, 5), (2, 123, 101, 505, 5)]
