@@ -14,7 +14,7 @@ def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
-def test_batch_plans_have_no_python_and_prune_columns(spark):
+def test_batch_plans_have_no_python(spark):
     for name, fn in E.queries().items():
         plan = fn(spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "ArrowEval" not in plan, name
