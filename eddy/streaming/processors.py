@@ -15,6 +15,7 @@ sequence column before applying them.
                      state until the watermark passes them, then replay in
                      order, so results do not depend on batch boundaries.
 ``SidedTimeout``     J4 by side, in event time, with per-side queues.
+``EventTimeToggle``  J4 as coded, with event time as the clock (exact).
 
 Rows travel between the JVM and the Python worker in Arrow batches; only
 the per-record state machine, which is what the reference computes, runs
@@ -352,3 +353,77 @@ class SidedTimeout(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class EventTimeToggle(StatefulProcessor):
+    """J4 exactly as coded, keyed by trans_id, on event time (``timestamp`` ms).
+
+    The reference's rules with its clock replaced by event time, so the
+    stream gives the batch ``timeout_toggle`` result: an arrival opens a
+    closed key (arming a deadline at ``timestamp + ttl`` that is never
+    cancelled) or closes an open one; a deadline emits whatever is open
+    then, without clearing it.  Rows wait until the watermark passes them;
+    arrivals and deadlines are merged in time order, an arrival exactly
+    at a deadline first.  One wake-up timer per key.
+    """
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = int(ttl_ms)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.wake = _Wake(handle)
+        self.buffer = handle.getListState("buffer", TRANSACTION_SCHEMA)
+        self.open = handle.getValueState("open", TRANSACTION_SCHEMA)
+        self.deadlines = handle.getListState("deadlines", "at bigint")
+
+    def _advance(self, wm: int, new: list[tuple]) -> Iterator[Row]:
+        pending = (list(self.buffer.get()) if self.buffer.exists() else []) + new
+        pending.sort(key=lambda t: (t[1], t[2]))
+        ready = [t for t in pending if t[1] < wm]
+        later = [t for t in pending if t[1] >= wm]
+        deadlines = [d for (d,) in self.deadlines.get()] if self.deadlines.exists() else []
+        opened = self.open.get() if self.open.exists() else None
+        i = 0
+        while True:
+            arrival = ready[i] if i < len(ready) else None
+            due = deadlines[0] if deadlines and deadlines[0] < wm else None
+            if arrival is None and due is None:
+                break
+            if due is not None and (arrival is None or due < arrival[1]):
+                deadlines.pop(0)
+                if opened is not None:
+                    yield _tx_row(opened)
+                continue
+            if opened is not None:
+                opened = None
+            else:
+                opened = arrival
+                deadlines.append(arrival[1] + self.ttl_ms)   # arrivals come in time order
+            i += 1
+        if opened is None:
+            self.open.clear()
+        else:
+            self.open.update(opened)
+        wakes = []
+        if deadlines:
+            self.deadlines.put([(d,) for d in deadlines])
+            wakes.append(deadlines[0] + 1)
+        else:
+            self.deadlines.clear()
+        if later:
+            self.buffer.put(later)
+            wakes.append(later[0][1] + 1)
+        else:
+            self.buffer.clear()
+        self.wake.set(min(wakes) if wakes else None)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [(r["trans_id"], r["timestamp"], r["event_id"], r["amount"]) for r in rows]
+        yield from self._advance(timerValues.getCurrentWatermarkInMs(), new)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.wake.fired()
+        yield from self._advance(timerValues.getCurrentWatermarkInMs(), [])
+
+    def close(self) -> None:
+        pass

@@ -311,3 +311,20 @@ def test_portfolio_state_survives_restart(spark, scratch):
     q.awaitTermination(300)
     after = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert after == [(1, 123, 100, 1000, 1), (1, 123, 101, 707, 5), (2, 123, 101, 505, 5)]
+
+
+def test_stream_event_time_toggle(spark, scratch):
+    tx = (T.debit(spark, SF_SMOKE).select("trans_id", "timestamp", "event_id", "amount")
+          .unionByName(T.credit(spark, SF_SMOKE).select("trans_id", "timestamp", "event_id",
+                                                        "amount")))
+    ttl_ms = 86_400_000
+    closing = spark.createDataFrame([(-1, 10 ** 13, 10 ** 9, "end")], tx.schema)
+    path = os.path.join(scratch, "tx")
+    schema = write_chunks(tx, "timestamp", 4, path)
+    closing.coalesce(1).write.mode("append").parquet(path)
+    run_to_memory(jobs.timeout_toggle_event_time(stream(spark, path, schema), ttl_ms,
+                                                 lag="1 hour"), "tt_et", scratch)
+    batch = timeout.timeout_toggle(tx, ttl_ms, time_col="timestamp").select(
+        "trans_id", "timestamp", "event_id", "amount")
+    got = [r for r in rows(spark, "tt_et") if r[0] != -1]
+    assert got == sorted(tuple(r) for r in batch.collect()) and len(got) > 0
