@@ -219,7 +219,7 @@ class CleanTimeout(StatefulProcessor):
     """J4 as intended, keyed by trans_id, event time (``timestamp`` in ms).
 
     A match cancels the pending timeout and an emit clears the key.  Rows
-    wait in a buffer until the watermark reaches them; then they are
+    wait in a buffer until the watermark passes them; then they are
     applied in (timestamp, event_id) order, timing out the open arrival
     first when the new one is more than ttl after it.  An open arrival
     times out once the watermark is past its deadline (a partner exactly
