@@ -1,12 +1,12 @@
 """Text sources (S1, S2), arrival/event-time stamps (T1, T2), console (K1, K2), state."""
 import os
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from eddy.functions import parse
-from eddy.functions.time import with_arrival_time, with_event_time
-from eddy.operators.windowjoin import nav_holder_join
+from eddy.functions.time import with_event_time
 from eddy.sinks.console import sync_label, to_console
 from eddy.sources.text import read_lines, stream_lines
 from eddy.streaming import jobs, runtime
@@ -30,14 +30,7 @@ def test_fixture_join_on_arrival_time_stream(spark, scratch):
     """Both files arrive in one micro-batch, so every row gets the same stamp."""
     nav_p = write_text(os.path.join(scratch, "nav"), NAV_LINES)
     user_p = write_text(os.path.join(scratch, "user"), USER_LINES)
-    nav = with_arrival_time(
-        stream_lines(spark, nav_p).select(parse.parse_nav_update("value").alias("p"))
-        .select("p.*", F.lit(0).cast("bigint").alias("seq")), out="ts")
-    user = with_arrival_time(
-        stream_lines(spark, user_p).select(parse.parse_pair("value", "user_id", "nav_id")
-                                           .alias("p"))
-        .select("p.*", F.lit(0).cast("bigint").alias("seq")), out="ts")
-    out = nav_holder_join(nav, user, "2 seconds", "1 second")
+    out = jobs.nav_user_join_job(stream_lines(spark, nav_p), stream_lines(spark, user_p))
     q = (out.writeStream.format("memory").queryName("fixture_t1")
          .option("checkpointLocation", os.path.join(scratch, "ck"))
          .trigger(availableNow=True).start())
@@ -81,3 +74,46 @@ def test_to_console_helper_starts(spark, scratch):
     q.processAllAvailable()
     q.stop()
     assert q.lastProgress["numInputRows"] == 1
+
+
+def test_portfolio_lines_job(spark, scratch):
+    """D2 from lines: holdings arrive first, prices in a later micro-batch."""
+    own_p = write_text(os.path.join(scratch, "own"), ["123, 1, 10", "123, 2, 5", "123, 1, -3"])
+    nav_dir = os.path.join(scratch, "nav")
+    os.makedirs(nav_dir)
+    q = (jobs.portfolio_lines_job(stream_lines(spark, own_p), stream_lines(spark, nav_dir))
+         .writeStream.format("memory").queryName("d2").option("checkpointLocation",
+                                                             os.path.join(scratch, "ck"))
+         .start())
+    q.processAllAvailable()
+    write_text(nav_dir, ["123, 101", "345, 7"])
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r["user_id"], r["nav_id"], r["unit_value"], r["new_valuation"])
+                 for r in spark.table("d2").collect())
+    assert got == [(1, 123, 101, 707), (2, 123, 101, 505)]
+
+
+def test_holdings_and_timeout_lines_jobs(spark, scratch):
+    own_p = write_text(os.path.join(scratch, "own"), ["7, 1, 5", "7, 1, 2", "7, 2, 4"])
+    q = (jobs.holdings_lines_job(stream_lines(spark, own_p)).writeStream.format("memory")
+         .queryName("d3").option("checkpointLocation", os.path.join(scratch, "ck3"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    final = {}
+    for r in spark.table("d3").collect():
+        final[(r["nav_id"], r["user_id"])] = max(final.get((r["nav_id"], r["user_id"]), -99),
+                                                 r["holding"])
+    assert final == {(7, 1): 7, (7, 2): 4}
+    deb = write_text(os.path.join(scratch, "deb"), ["1,1000,acct-1,5.00", "2,1000,acct-2,6.00"])
+    cre = write_text(os.path.join(scratch, "cre"), ["1,1001,card-1,Ann,5.00",
+                                                    "9,1001,card-9,Bob,7.00"])
+    q = (jobs.timeout_lines_job(stream_lines(spark, deb), stream_lines(spark, cre), ttl_ms=300)
+         .writeStream.format("memory").queryName("d4")
+         .option("checkpointLocation", os.path.join(scratch, "ck4"))
+         .trigger(processingTime="200 milliseconds").start())
+    deadline = time.time() + 60
+    while time.time() < deadline and spark.table("d4").count() < 2:
+        time.sleep(0.5)
+    q.stop()
+    assert sorted(r["trans_id"] for r in spark.table("d4").collect()) == [2, 9]
