@@ -36,3 +36,18 @@ def test_auto_blocked_timeouts(spark, monkeypatch):
     assert got == sim.clean(triples, 30)
     got = sorted((r[0], r[1], r[2], r[3]) for r in TO.timeout_sided(df, 30, **kw).collect())
     assert got == sim.sided([(k, t, i, s) for k, t, i, _, s in rows], 30)
+
+
+def test_lot_chunk_grows_with_the_largest_nav(spark, monkeypatch):
+    """With at most 4 chunk rows per price the chunk widens; results are unchanged."""
+    monkeypatch.setattr(H, "MAX_CHUNKS_PER_PRICE", 4)
+    own, nav = random_streams(13)
+    o, n = frames(spark, own, nav)
+    out = H.lot_valuation(o, n, chunk=1)
+    assert sorted(tuple(r) for r in out.collect()) == sim.lots(own, nav)
+
+
+def test_lot_chunk_bounds_the_expansion():
+    for largest in (1, 1000, 10 ** 6, 3 * 10 ** 11):
+        c = H.lot_chunk(largest)
+        assert c >= H.LOT_CHUNK and -(-largest // c) <= H.MAX_CHUNKS_PER_PRICE
