@@ -29,6 +29,7 @@ time-to-live; the job then runs in ``processingTime`` mode, which TTL needs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -74,9 +75,10 @@ class Portfolio(_Ttl):
     """J2, keyed by nav_id over a tagged union (kind 'own' / 'nav').
 
     Map state user_id -> holding.  An ownership change updates one entry
-    (missing = 0); a price emits one row per entry.  Within a micro-batch
-    the map is read once, at the first price, and only changed entries
-    are written back, so state calls do not grow with prices x holders.
+    (missing = 0); a price emits one row per entry.  Changes made in the
+    current micro-batch are kept in a small dict and written once at the
+    end; a price streams the stored map (never loaded whole into Python)
+    and overlays those changes, so memory stays bounded by the batch.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -84,28 +86,26 @@ class Portfolio(_Ttl):
                                            self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        loaded = None            # the whole map, once a price needs it
-        changed = {}
+        changed = {}             # this batch's holdings, by user
         for r in sorted(rows, key=_price_first):
             if r["kind"] == "own":
                 user = r["user_id"]
-                if loaded is not None:
-                    cur = loaded.get(user, 0)
-                elif user in changed:
+                if user in changed:
                     cur = changed[user]
                 else:
                     got = self.holdings.getValue((user,))
                     cur = got[0] if got else 0
                 changed[user] = cur + r["share"]
-                if loaded is not None:
-                    loaded[user] = changed[user]
-            else:
-                if loaded is None:
-                    loaded = {u: h for (u,), (h,) in self.holdings.iterator()}
-                    loaded.update(changed)
-                for user, h in loaded.items():
-                    yield Row(user_id=user, nav_id=r["nav_id"], unit_value=r["unit_value"],
-                              new_valuation=r["unit_value"] * h, seq=r["seq"])
+                continue
+            v = r["unit_value"]
+            if self.holdings.exists():
+                for (user,), (h,) in self.holdings.iterator():
+                    if user not in changed:
+                        yield Row(user_id=user, nav_id=r["nav_id"], unit_value=v,
+                                  new_valuation=v * h, seq=r["seq"])
+            for user, h in changed.items():
+                yield Row(user_id=user, nav_id=r["nav_id"], unit_value=v,
+                          new_valuation=v * h, seq=r["seq"])
         for user, h in changed.items():
             self.holdings.updateValue((user,), (h,))
 
@@ -116,8 +116,8 @@ class Portfolio(_Ttl):
 class Lots(_Ttl):
     """J3, keyed by nav_id: list state of (user_id, share, seq) lots.
 
-    The list is read once per micro-batch (at the first price) and new
-    lots are appended in one call at the end.
+    A price streams the stored list and then this batch's new lots; new
+    lots are appended in one call at the end of the batch.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -125,22 +125,16 @@ class Lots(_Ttl):
                                         self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        loaded = None
         added = []
         for r in sorted(rows, key=_price_first):
             if r["kind"] == "own":
-                lot = (r["user_id"], r["share"], r["seq"])
-                added.append(lot)
-                if loaded is not None:
-                    loaded.append(lot)
-            else:
-                if loaded is None:
-                    loaded = (list(self.lots.get()) if self.lots.exists() else []) + added
-                for user, share, lot_seq in loaded:
-                    yield Row(nav_id=r["nav_id"], user_id=user, share=share,
-                              unit_value=r["unit_value"],
-                              new_valuation=r["unit_value"] * share,
-                              nav_seq=r["seq"], lot_seq=lot_seq)
+                added.append((r["user_id"], r["share"], r["seq"]))
+                continue
+            stored = self.lots.get() if self.lots.exists() else iter(())
+            for user, share, lot_seq in chain(stored, added):
+                yield Row(nav_id=r["nav_id"], user_id=user, share=share,
+                          unit_value=r["unit_value"], new_valuation=r["unit_value"] * share,
+                          nav_seq=r["seq"], lot_seq=lot_seq)
         if added:
             self.lots.appendList(added)
 
