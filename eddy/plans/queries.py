@@ -79,8 +79,8 @@ Q_TTL_US = 86_400_000_000
 
 
 def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.union_transactions(T.debit(spark, sf_dir), T.credit(spark, sf_dir),
-                                    extra=("ts_us", "event_id"), side_col="side")
+    """The merged transaction stream for the timeouts, from one scan."""
+    return T.transactions(spark, sf_dir)
 
 
 @register("union_transactions")
