@@ -71,7 +71,8 @@ def portfolio_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("lot_valuation")
 def lot_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each NAV price revalues every earlier lot of that NAV."""
-    return holdings.lot_valuation(T.own(spark, sf_dir), T.nav(spark, sf_dir))
+    # lots and prices come from one scan of events
+    return holdings.lot_valuation_tagged(T.holdings_events(spark, sf_dir))
 
 
 # Fixed value: the pairing timeout over the test tables (24 h in microseconds).

@@ -133,3 +133,20 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     amount_text().alias("amount"),
                     F.when(kind == DEBIT_TYPE, F.lit("debit")).otherwise(F.lit("credit"))
                     .alias("side")))
+
+
+def holdings_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ownership changes and NAV prices tagged in one scan (``is_lot`` 1/0).
+
+    Columns: nav_id, seq, user_id, share (lots), unit_value (prices), is_lot.
+    """
+    kind = F.col("event_type")
+    own_row = kind == OWN_TYPE
+    return (events(spark, sf_dir)
+            .where(kind.isin(OWN_TYPE, NAV_TYPE))
+            .select((prop_k() % NAV_COUNT).alias("nav_id"),
+                    F.col("event_id").alias("seq"),
+                    F.when(own_row, F.col("user_id") % HOLDER_COUNT).alias("user_id"),
+                    F.when(own_row, F.floor("value")).alias("share"),
+                    F.when(~own_row, F.floor("value")).alias("unit_value"),
+                    F.when(own_row, F.lit(1)).otherwise(F.lit(0)).alias("is_lot")))
