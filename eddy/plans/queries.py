@@ -65,7 +65,8 @@ def current_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("portfolio_valuation")
 def portfolio_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each NAV price revalues every holder of that NAV."""
-    return holdings.portfolio_valuation(T.own(spark, sf_dir), T.nav(spark, sf_dir))
+    # changes and prices come from one scan of events, parsed once
+    return holdings.portfolio_valuation_tagged(T.holdings_events(spark, sf_dir))
 
 
 @register("lot_valuation")
