@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
-def sync_label(prefix: str = "sync_") -> str:
+# Fixed value: the prefix of the reference's print-sink label.
+SYNC_PREFIX = "sync_"
+
+
+def sync_label(prefix: str = SYNC_PREFIX) -> str:
     """K2: the label the reference gives its print sink."""
     return f"{prefix}{int(time.time() * 1000)}"
 
