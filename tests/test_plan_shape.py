@@ -1,0 +1,47 @@
+"""Plan-shape guards at scale settings (static broadcast off): shuffles and
+aggregate kinds per query, so a change that adds an exchange shows up."""
+import re
+
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF_SMOKE
+
+# Exchanges per query with broadcast joins off (see PLANS.md).
+EXCHANGES = {
+    "windowed_join": 2, "window_assign": 0, "running_holdings": 1, "current_holdings": 1,
+    "union_transactions": 0, "timeout_clean": 1, "timeout_sided": 1,
+    "route_even": 0, "route_odd_keyed": 0, "upsert_last_write": 1, "upsert_ignore_nulls": 1,
+    "parse_pair": 0, "parse_nav_update": 0, "parse_ownership": 0, "parse_debit": 0,
+    "parse_credit": 0,
+}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _plan(spark, name):
+    return E.queries()[name](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exchange_counts(no_broadcast):
+    for name, n in EXCHANGES.items():
+        plan = _plan(no_broadcast, name)
+        assert len(re.findall(r"\bExchange\b", plan)) == n, (name, plan)
+
+
+def test_upserts_aggregate_by_hash(no_broadcast):
+    for name in ("upsert_last_write", "upsert_ignore_nulls"):
+        plan = _plan(no_broadcast, name)
+        assert "HashAggregate" in plan and "SortAggregate" not in plan, name
+
+
+def test_windowed_join_is_sort_merge_on_key_and_window(no_broadcast):
+    plan = _plan(no_broadcast, "windowed_join")
+    assert "SortMergeJoin" in plan and "Expand" in plan
+    assert "BroadcastExchange" not in plan
