@@ -56,3 +56,12 @@ def test_sided_vs_brute_force(spark):
             got = sorted((r["trans_id"], r["ts_us"], r["event_id"], r["side"]) for r in
                          timeout.timeout_sided(df, ttl, width=width).collect())
             assert got == exp, (seed, ttl, width)
+
+
+def test_hand_case_all_modes(spark):
+    """Debit ids 1, 2; credit ids 1, 9: only 2 and 9 time out, in every mode."""
+    rows = [(1, 0, 0, "a", "debit"), (2, 0, 1, "b", "debit"),
+            (1, 3, 2, "c", "credit"), (9, 4, 3, "d", "credit")]
+    df = spark.createDataFrame(rows, SIDED)
+    for fn in (timeout.timeout_toggle, timeout.timeout_clean, timeout.timeout_sided):
+        assert sorted(r["trans_id"] for r in fn(df, 10).collect()) == [2, 9], fn.__name__
