@@ -17,5 +17,11 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_dedup,)}
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 50-byte passages removed from every document."""
+    from eddy.llm.suffix_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op5_suffix_dedup)}
 ORACLE: dict[str, str] = {}
