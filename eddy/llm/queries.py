@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eddy.llm.host_trust import judge_urls_sql
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -23,5 +25,17 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op5_suffix_dedup)}
-ORACLE: dict[str, str] = {}
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    from eddy.llm.host_trust import judge_urls
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    from eddy.llm.sharding import shard_documents
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op5_suffix_dedup, op6_url_filters, op9_sharding)}
+ORACLE = {"op6_url_filters": judge_urls_sql()}
