@@ -31,11 +31,18 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    from eddy.llm.nb_svm import classify, train
+    docs = table(spark, sf_dir, "documents")
+    return classify(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     from eddy.llm.sharding import shard_documents
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op5_suffix_dedup, op6_url_filters, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op5_suffix_dedup, op6_url_filters, op7_quality_classifier, op9_sharding)}
 ORACLE = {"op6_url_filters": judge_urls_sql()}
