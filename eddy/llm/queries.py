@@ -19,6 +19,12 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the weighed quality rules for every document."""
+    from eddy.llm.quality_rules import judge
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of repeated 50-byte passages removed from every document."""
     from eddy.llm.suffix_dedup import remove_repeats
@@ -38,11 +44,17 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item contained in it."""
+    from eddy.llm.decontamination import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     from eddy.llm.sharding import shard_documents
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op5_suffix_dedup, op6_url_filters, op7_quality_classifier, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op4_quality_rules, op5_suffix_dedup, op6_url_filters, op7_quality_classifier, op8_decontamination, op9_sharding)}
 ORACLE = {"op6_url_filters": judge_urls_sql()}
