@@ -56,5 +56,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op4_quality_rules, op5_suffix_dedup, op6_url_filters, op7_quality_classifier, op8_decontamination, op9_sharding)}
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the lower-case word vocabulary."""
+    import public_tokenizers
+
+    from eddy.llm.token_counts import count_tokens
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op4_quality_rules, op5_suffix_dedup, op6_url_filters, op7_quality_classifier, op8_decontamination, op9_sharding, op10_token_counts)}
 ORACLE = {"op6_url_filters": judge_urls_sql()}
