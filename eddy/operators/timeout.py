@@ -18,13 +18,11 @@ exceeds ``ttl``; an odd-length chain leaves its last arrival unmatched.
 ``sided``: an arrival is unmatched when no arrival *of the other side*
 with the same key lies within ``ttl`` of it, before or after.
 
-All three are prefix scans per key (``prefix_scan``) plus grouped
-aggregates; no pairs are formed.  One pre-pass (a grouped count, min and
-max of time, combined map-side) decides the plan: when some key holds more
-than ``SINGLE_TASK_ROWS`` rows, the scans are blocked by time, with a
-block width sized from the data for about ``block_rows`` rows per block,
-so one busy key is spread over many tasks.  An explicit ``width`` always
-blocks.
+All three are prefix scans per key (``scan.py``) plus grouped aggregates;
+no pairs are formed.  The narrow rows are written once, in blocks that are
+quantile ranges of ``(time, id)``, and every scan reads that copy; a key's
+burst, or rows of one time, spread over blocks like any other rows.
+``blocks`` sets their number.
 """
 
 from __future__ import annotations
@@ -32,63 +30,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddy.operators.scan import SINGLE_TASK_ROWS, Prefix, block_by_width, prefix_scan
-from eddy.session import materialize
+from eddy.operators.scan import Prefix, by_range, prefix_scan
 
-BLOCK_ROWS = 1 << 20
 MODES = ("toggle", "clean", "sided")
 
 
-def _width(df: DataFrame, key: str, time_col: str, block_rows: int, width: int | None,
-           rows_per_row: int = 1) -> int | None:
-    """Time-block width, or None when every key fits one task.
-
-    ``rows_per_row``: scan rows generated per input row (probes double it).
-    """
-    if width is not None:
-        return width
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("c"), F.min(time_col).alias("lo"),
-                                  F.max(time_col).alias("hi"))
-    r = per_key.agg(F.max("c").alias("m"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-                    F.sum("c").alias("n")).first()
-    if r is None or not r["n"] or r["m"] * rows_per_row <= SINGLE_TASK_ROWS:
-        return None
-    span = int(r["hi"]) - int(r["lo"]) + 1
-    return max(1, -(-span * int(block_rows) // int(r["n"])))
-
-
-def _blk(c, width: int | None, sign: int = 1):
-    return None if width is None else sign * block_by_width(c, width)
-
-
 def timeout_toggle(tx: DataFrame, ttl: int, key: str = "trans_id", time_col: str = "ts_us",
                    id_col: str = "event_id", payload: tuple[str, ...] = ("amount",),
-                   block_rows: int = BLOCK_ROWS, width: int | None = None,
-                   cut: bool = True) -> DataFrame:
-    """J4 as coded (see module doc).  One output row per firing timer.
-
-    The numbered arrivals feed both the arrivals and the probes of the
-    second scan; ``cut=True`` writes them once to the shared checkpoint
-    folder (see ``eddy.session.materialize``).
-    """
-    w = _width(tx, key, time_col, block_rows, width, rows_per_row=2)
-    base = tx.select(key, time_col, id_col, *payload)
-    numbered = prefix_scan(base, [key], [time_col, id_col],
-                           [Prefix("_n", F.lit(1).cast("bigint"))],
-                           block=_blk(time_col, w))
-    if cut:
-        numbered = materialize(numbered)
-    # arrivals carry their record; probes stand at the deadline of each opening
+                   blocks: int | None = None) -> DataFrame:
+    """J4 as coded (see module doc).  One output row per firing timer."""
+    base = by_range(tx.select(key, time_col, id_col, *payload), [key], [time_col, id_col], blocks)
+    numbered = prefix_scan(base, [time_col, id_col], [Prefix("_n", F.lit(1).cast("bigint"))])
+    # an arrival carries its record; an opening also gives a probe at its deadline
     rec = F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("i"),
                    F.col("_n").alias("n"), *[F.col(p) for p in payload])
-    arrivals = numbered.select(key, F.col(time_col).alias("_at"), F.lit(0).alias("_kind"),
-                               F.col(id_col).alias("_ord"), rec.alias("_rec"))
-    probes = numbered.where(F.col("_n") % 2 == 1).select(
-        key, (F.col(time_col) + F.lit(int(ttl))).alias("_at"), F.lit(1).alias("_kind"),
-        F.col(id_col).alias("_ord"), F.when(F.lit(False), rec).alias("_rec"))
-    scanned = prefix_scan(arrivals.unionByName(probes), [key], ["_at", "_kind", "_ord"],
-                          [Prefix("_m", F.col("_rec"), op="max")],
-                          block=_blk("_at", w))
+    none = F.when(F.lit(False), rec)
+    arrival = F.struct(F.col(time_col).alias("at"), F.lit(0).alias("kind"), rec.alias("rec"))
+    probe = F.struct((F.col(time_col) + F.lit(int(ttl))).alias("at"), F.lit(1).alias("kind"), none.alias("rec"))
+    both = F.when(F.col("_n") % 2 == 1, F.array(arrival, probe)).otherwise(F.array(arrival))
+    events = numbered.select(key, F.col(id_col).alias("_id"), F.explode(both).alias("e")) \
+        .select(key, "_id", F.col("e.at").alias("_at"), F.col("e.kind").alias("_kind"), F.col("e.rec").alias("_rec"))
+    order = ["_at", "_kind", "_id"]
+    scanned = prefix_scan(by_range(events, [key], order, blocks), order, [Prefix("_m", F.col("_rec"), op="max")])
     fired = scanned.where((F.col("_kind") == 1) & (F.col("_m.n") % 2 == 1))
     return fired.select(key, F.col("_m.t").alias(time_col), F.col("_m.i").alias(id_col),
                         *[F.col(f"_m.{p}").alias(p) for p in payload])
@@ -96,18 +59,14 @@ def timeout_toggle(tx: DataFrame, ttl: int, key: str = "trans_id", time_col: str
 
 def timeout_clean(tx: DataFrame, ttl: int, key: str = "trans_id", time_col: str = "ts_us",
                   id_col: str = "event_id", payload: tuple[str, ...] = ("amount",),
-                  block_rows: int = BLOCK_ROWS, width: int | None = None) -> DataFrame:
+                  blocks: int | None = None) -> DataFrame:
     """J4 as intended: the last arrival of every odd-length chain."""
-    w = _width(tx, key, time_col, block_rows, width)
-    base = tx.select(key, time_col, id_col, *payload)
-    blk = _blk(time_col, w)
-    prev = prefix_scan(base, [key], [time_col, id_col],
-                       [Prefix("_prev", F.col(time_col), op="max", inclusive=False)],
-                       block=blk)
+    order = [time_col, id_col]
+    base = by_range(tx.select(key, time_col, id_col, *payload), [key], order, blocks)
+    prev = prefix_scan(base, order, [Prefix("_prev", F.col(time_col), op="max", inclusive=False)])
     gap = (F.col(time_col) - F.col("_prev") > F.lit(int(ttl))).cast("bigint")
     flagged = prev.withColumn("_g", F.coalesce(gap, F.lit(0).cast("bigint")))
-    chained = prefix_scan(flagged, [key], [time_col, id_col],
-                          [Prefix("_c", F.col("_g"))], block=blk)
+    chained = prefix_scan(flagged, order, [Prefix("_c", F.col("_g"))])
     rec = F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("i"),
                    *[F.col(p) for p in payload])
     chains = chained.groupBy(key, "_c").agg(F.count(F.lit(1)).alias("_k"),
@@ -120,21 +79,17 @@ def timeout_clean(tx: DataFrame, ttl: int, key: str = "trans_id", time_col: str
 def timeout_sided(tx: DataFrame, ttl: int, side_col: str = "side", key: str = "trans_id",
                   time_col: str = "ts_us", id_col: str = "event_id",
                   payload: tuple[str, ...] = ("amount",), sides=("debit", "credit"),
-                  block_rows: int = BLOCK_ROWS, width: int | None = None) -> DataFrame:
+                  blocks: int | None = None) -> DataFrame:
     """J4 by side: arrivals with no other-side partner within +-ttl."""
     a, b = sides
-    w = _width(tx, key, time_col, block_rows, width)
-    base = tx.select(key, time_col, id_col, side_col, *payload)
+    order = [time_col, id_col]
+    base = by_range(tx.select(key, time_col, id_col, side_col, *payload), [key], order, blocks)
     t = F.col(time_col)
     is_a, is_b = F.col(side_col) == a, F.col(side_col) == b
-    fwd = prefix_scan(base, [key], [time_col, id_col],
-                      [Prefix("_pa", F.when(is_a, t), op="max"),
-                       Prefix("_pb", F.when(is_b, t), op="max")],
-                      block=_blk(time_col, w))
-    bwd = prefix_scan(fwd, [key], [F.col(time_col).desc(), F.col(id_col).desc()],
-                      [Prefix("_na", F.when(is_a, t), op="min"),
-                       Prefix("_nb", F.when(is_b, t), op="min")],
-                      block=_blk(time_col, w, sign=-1))
+    fwd = prefix_scan(base, order, [Prefix("_pa", F.when(is_a, t), op="max"),
+                                    Prefix("_pb", F.when(is_b, t), op="max")])
+    bwd = prefix_scan(fwd, order, [Prefix("_na", F.when(is_a, t), op="min"),
+                                   Prefix("_nb", F.when(is_b, t), op="min")], backward=True)
     prev_other = F.when(is_a, F.col("_pb")).otherwise(F.col("_pa"))
     next_other = F.when(is_a, F.col("_nb")).otherwise(F.col("_na"))
     ttl_c = F.lit(int(ttl))

@@ -1,17 +1,20 @@
 """Session construction and the shared checkpoint folder.
 
 On a cluster the session is handed to us already configured; we only read
-``spark.checkpoint.dir`` from it.  Local sessions (tests, bench) get a
-fresh scratch folder under ``/tmp`` because nothing else names one.
+``spark.checkpoint.dir`` from it, and refuse to write intermediates when
+nothing names a shared folder.  Local sessions (tests, bench) get a fresh
+scratch folder under ``/tmp``.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every eddy session wants.  AQE re-plans joins at runtime: it turns
 # a sort-merge join into a broadcast join only when the measured shuffle
@@ -39,28 +42,6 @@ BASE_CONF = {
 }
 
 
-# Bytes per task for file splits and for shuffle partitions after AQE
-# coalescing: large enough to amortize task overhead, small enough to sort
-# in executor memory without heavy spilling.
-PARTITION_BYTES = 256 << 20
-
-
-def sizing_conf(input_bytes: int, cores: int, shuffle_fraction: float = 0.25) -> dict:
-    """Partition settings for a job over ``input_bytes`` of parquet.
-
-    ``shuffle_fraction`` estimates the bytes that reach a shuffle after
-    pruning and filtering.  The shuffle starts with enough partitions for
-    ``PARTITION_BYTES`` each and AQE coalesces small ones at runtime.
-    """
-    shuffle_parts = max(2 * cores, -(-int(input_bytes * shuffle_fraction) // PARTITION_BYTES))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
-        "spark.sql.shuffle.partitions": str(shuffle_parts),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
-    }
-
-
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "eddy", extra: dict | None = None) -> SparkSession:
     """Return a session with eddy's settings.
@@ -79,45 +60,55 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and lineage-cutting tables.
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where it lies.
 
-    Read ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs, tests) do we create a scratch folder and set it.
+    A cluster that installs it, or ships it with ``--py-files``, needs no path.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="eddy-ckpt-", dir="/tmp")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:       # some sessions refuse core settings at runtime
-            pass
-    try:
-        sc = spark.sparkContext
-    except Exception:           # no SparkContext (remote session): server-side dir
-        return d
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return d
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and continue from the copy.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for checkpoints and lineage-cutting tables.
 
-    A reliable checkpoint (never ``localCheckpoint``): the rows live in
-    ``spark.checkpoint.dir``, so losing an executor later re-reads them
-    instead of recomputing the plan that produced them, and a DataFrame
-    read twice downstream is computed once.
+    ``spark.checkpoint.dir``, else the folder given to
+    ``SparkContext.setCheckpointDir``.  Only a local session (tests, bench)
+    gets a scratch folder of its own when neither is set; elsewhere that
+    folder would not be shared, so this raises.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share "
+                           f"(master {master})")
+    d = tempfile.mkdtemp(prefix="eddy-ckpt-", dir="/tmp")
+    spark.sparkContext.setCheckpointDir(d)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str = "table", partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and continue from the copy.
+
+    The rows live in ``spark.checkpoint.dir`` (never a ``localCheckpoint``),
+    so losing an executor later re-reads them instead of recomputing the
+    plan that produced them, and a DataFrame read twice downstream is
+    computed once.  Readers of the copy get pruned columns, pushed filters
+    and statistics; ``partition_by`` lets them skip whole files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

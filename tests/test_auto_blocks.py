@@ -1,53 +1,30 @@
-"""The checked split decision: with a tiny per-task budget the automatic
-path blocks the scans (width sized from the data) and results stay exact."""
-
-import eddy.operators.holdings as H
-import eddy.operators.timeout as TO
+"""Small blocks: every operator gives the sequential result across block edges."""
 import sim
+from eddy.operators import holdings, timeout
 from test_holdings import frames, random_streams
 from test_timeout import SIDED, random_tx
 
 
-def test_auto_blocked_holdings(spark, monkeypatch):
-    monkeypatch.setattr(H, "SINGLE_TASK_ROWS", 10)
-    monkeypatch.setattr(H, "BLOCK_ROWS", 16)
+def test_small_blocks_of_holdings(spark):
     own, nav = random_streams(11)
     o, n = frames(spark, own, nav)
-    assert H._blocks(None, (o, ["nav_id", "user_id"])) is not None
     got = {(r["nav_id"], r["user_id"], r["seq"]): r["holding"]
-           for r in H.running_holdings(o).collect()}
+           for r in holdings.running_holdings(o, block_rows=16).collect()}
     assert got == sim.running_holdings(own)
-    assert sorted(tuple(r) for r in H.portfolio_valuation(o, n).collect()) == \
+    assert sorted(tuple(r) for r in holdings.portfolio_valuation(o, n, block_rows=16, salts=3).collect()) == \
         sim.portfolio(own, nav)
-    assert sorted(tuple(r) for r in H.lot_valuation(o, n, chunk=5).collect()) == \
+    assert sorted(tuple(r) for r in holdings.lot_valuation(o, n, block_rows=16, chunk=5).collect()) == \
         sim.lots(own, nav)
 
 
-def test_auto_blocked_timeouts(spark, monkeypatch):
-    monkeypatch.setattr(TO, "SINGLE_TASK_ROWS", 10)
+def test_many_ranges_of_timeouts(spark):
     rows = random_tx(12)
     df = spark.createDataFrame(rows, SIDED)
-    assert TO._width(df, "trans_id", "ts_us", 20, None) is not None
-    kw = dict(block_rows=20)
     triples = [(k, t, i) for k, t, i, _, _ in rows]
-    got = sorted(tuple(r)[:3] for r in TO.timeout_toggle(df, 30, **kw).collect())
-    assert got == sim.toggle(triples, 30)
-    got = sorted(tuple(r)[:3] for r in TO.timeout_clean(df, 30, **kw).collect())
-    assert got == sim.clean(triples, 30)
-    got = sorted((r[0], r[1], r[2], r[3]) for r in TO.timeout_sided(df, 30, **kw).collect())
-    assert got == sim.sided([(k, t, i, s) for k, t, i, _, s in rows], 30)
-
-
-def test_lot_chunk_grows_with_the_largest_nav(spark, monkeypatch):
-    """With at most 4 chunk rows per price the chunk widens; results are unchanged."""
-    monkeypatch.setattr(H, "MAX_CHUNKS_PER_PRICE", 4)
-    own, nav = random_streams(13)
-    o, n = frames(spark, own, nav)
-    out = H.lot_valuation(o, n, chunk=1)
-    assert sorted(tuple(r) for r in out.collect()) == sim.lots(own, nav)
-
-
-def test_lot_chunk_bounds_the_expansion():
-    for largest in (1, 1000, 10 ** 6, 3 * 10 ** 11):
-        c = H.lot_chunk(largest)
-        assert c >= H.LOT_CHUNK and -(-largest // c) <= H.MAX_CHUNKS_PER_PRICE
+    for blocks in (1, 13):
+        got = sorted(tuple(r)[:3] for r in timeout.timeout_toggle(df, 30, blocks=blocks).collect())
+        assert got == sim.toggle(triples, 30)
+        got = sorted(tuple(r)[:3] for r in timeout.timeout_clean(df, 30, blocks=blocks).collect())
+        assert got == sim.clean(triples, 30)
+        got = sorted((r[0], r[1], r[2], r[3]) for r in timeout.timeout_sided(df, 30, blocks=blocks).collect())
+        assert got == sim.sided([(k, t, i, s) for k, t, i, _, s in rows], 30)

@@ -1,23 +1,52 @@
 import os
 
-from eddy.session import PARTITION_BYTES, checkpoint_dir, materialize, sizing_conf
+import pytest
 
+from eddy import session
+from eddy.session import checkpoint_dir, materialize, scratch_path
 
-def test_sizing_conf_scales_with_input():
-    small = sizing_conf(10 << 20, cores=8)
-    assert small["spark.sql.shuffle.partitions"] == "16"          # floor: 2 x cores
-    big = sizing_conf(100 * 10 ** 12, cores=8000)
-    parts = int(big["spark.sql.shuffle.partitions"])
-    assert parts * PARTITION_BYTES >= 0.25 * 100 * 10 ** 12
-    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(PARTITION_BYTES)
 
-
-def test_materialize_writes_to_the_shared_checkpoint_folder(spark):
+def test_materialize_writes_parquet_to_the_shared_folder(spark):
     d = checkpoint_dir(spark)
-    assert d == spark.conf.get("spark.checkpoint.dir")
-    df = materialize(spark.range(100).selectExpr("id", "id * 2 AS v"))
-    assert df.count() == 100
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "LogicalRDD" in plan                                   # lineage cut
-    root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    df = materialize(spark.range(100).selectExpr("id", "id * 2 AS v", "id % 2 AS kind"), "t", ["kind"])
+    one = df.where("kind = 1 and v > 10").select("v")
+    assert one.count() == 47 and df.columns == ["id", "v", "kind"]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(kind" in plan and "GreaterThan(v,10)" in plan
+    assert "ReadSchema: struct<v:bigint>" in plan
+    root = d.replace("file:", "")
     assert os.path.isdir(root) and any(os.scandir(root))
+
+
+def test_scratch_paths_are_fresh(spark):
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+class _Spark:
+    """A session's settings, as far as checkpoint_dir looks at them."""
+
+    def __init__(self, master, conf=None, folder=None):
+        self.conf = conf or {}
+        self.sparkContext = self
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, d):
+        self.folder = d
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Spark("spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(_Spark("local-cluster[2,1,1024]"))
+    assert checkpoint_dir(_Spark("yarn", {"spark.checkpoint.dir": "hdfs:///c"})) == "hdfs:///c"
+    assert checkpoint_dir(_Spark("yarn", folder="hdfs:///set")) == "hdfs:///set"
+    local = _Spark("local[2]")
+    assert checkpoint_dir(local) == checkpoint_dir(local)
+
+
+def test_workers_can_import_the_package(spark):
+    assert os.path.dirname(os.path.dirname(session.__file__)) in spark.sparkContext.environment["PYTHONPATH"]

@@ -30,10 +30,10 @@ def test_toggle_vs_sequential(spark):
         rows = random_tx(seed)
         df = spark.createDataFrame([r[:4] for r in rows], TX)
         exp = sim.toggle([(k, t, i) for k, t, i, _, _ in rows], ttl)
-        for width in (None, 40, 1 << 40):
+        for blocks in (None, 7):
             got = sorted((r[0], r[1], r[2]) for r in
-                         timeout.timeout_toggle(df, ttl, width=width).collect())
-            assert got == exp, (seed, ttl, width)
+                         timeout.timeout_toggle(df, ttl, blocks=blocks).collect())
+            assert got == exp, (seed, ttl, blocks)
 
 
 def test_clean_vs_sequential(spark):
@@ -41,10 +41,10 @@ def test_clean_vs_sequential(spark):
         rows = random_tx(seed)
         df = spark.createDataFrame([r[:4] for r in rows], TX)
         exp = sim.clean([(k, t, i) for k, t, i, _, _ in rows], ttl)
-        for width in (None, 33):
+        for blocks in (None, 6):
             got = sorted((r[0], r[1], r[2]) for r in
-                         timeout.timeout_clean(df, ttl, width=width).collect())
-            assert got == exp, (seed, ttl, width)
+                         timeout.timeout_clean(df, ttl, blocks=blocks).collect())
+            assert got == exp, (seed, ttl, blocks)
 
 
 def test_sided_vs_brute_force(spark):
@@ -52,10 +52,10 @@ def test_sided_vs_brute_force(spark):
         rows = random_tx(seed)
         df = spark.createDataFrame(rows, SIDED)
         exp = sim.sided([(k, t, i, s) for k, t, i, _, s in rows], ttl)
-        for width in (None, 25):
+        for blocks in (None, 5):
             got = sorted((r["trans_id"], r["ts_us"], r["event_id"], r["side"]) for r in
-                         timeout.timeout_sided(df, ttl, width=width).collect())
-            assert got == exp, (seed, ttl, width)
+                         timeout.timeout_sided(df, ttl, blocks=blocks).collect())
+            assert got == exp, (seed, ttl, blocks)
 
 
 def test_hand_case_all_modes(spark):
