@@ -33,6 +33,7 @@ is judged on its own text; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -82,8 +83,14 @@ def key_runs(text: np.ndarray, buckets: int):
         yield keys[cut], a + cut, a + np.append(cut[1:], len(keys))
 
 
-def _blob(x, kind) -> bytes:
-    return np.ascontiguousarray(x, kind).tobytes()
+def _pack(x: np.ndarray | bytes) -> bytes:
+    """Array bytes compressed for the shuffle, with their size in front."""
+    raw = x if isinstance(x, bytes) else np.ascontiguousarray(x).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(x: bytes) -> bytes:
+    return pa.decompress(x[8:], decompressed_size=int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True)
 
 
 def _groups(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,12 +116,12 @@ def _ask(buckets: int):
         one, flag, doc = keys[a], many, docs[a]
         for x, y in zip(*_groups(one >> _U(32))):       # each key once, to its bucket
             at = x + np.argsort(doc[x:y], kind="stable")
-            rows.append((int(one[x] >> _U(32)), _blob(doc[at], np.int64), _blob(one[at], np.uint64), _blob(flag[at], np.uint8)))
+            rows.append((int(one[x] >> _U(32)), _pack(doc[at]), _pack((one[at] & _LOW).astype(np.uint32)), _pack(flag[at].astype(np.uint8))))
         told = np.repeat(many, b - a)                   # known here to be shared
         if told.any():
             d, k = docs[told], keys[told]
             order = np.argsort(d, kind="stable")
-            rows.append((-1 - int(k[0] % _U(buckets)), _blob(d[order], np.int64), _blob(k[order], np.uint64), b""))
+            rows.append((-1 - int(k[0] % _U(buckets)), _pack(d[order]), _pack(k[order]), _pack(b"")))
         bucket, *blobs = zip(*rows)
         return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)],
                                           names=["bucket", "docs", "keys", "many"])
@@ -139,15 +146,18 @@ def _ask(buckets: int):
 
 
 def _column(table: pa.Table, name: str, kind) -> np.ndarray:
-    parts = [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
+    parts = [np.frombuffer(_unpack(x), kind) for x in table.column(name).to_pylist()]
     return np.concatenate(parts) if parts else np.empty(0, kind)
 
 
 def _shared(parts: int):
     """Answers by part of the documents: which keys of which documents are shared."""
     def run(table: pa.Table) -> pa.Table:
-        docs, keys = _column(table, "docs", np.int64), _column(table, "keys", np.uint64)
-        if table.column("bucket")[0].as_py() >= 0:
+        docs, bucket = _column(table, "docs", np.int64), table.column("bucket")[0].as_py()
+        if bucket < 0:
+            keys = _column(table, "keys", np.uint64)
+        else:
+            keys = _column(table, "keys", np.uint32) | _U(bucket) << _U(32)
             many = _column(table, "many", np.uint8)
             order = np.lexsort((docs, keys))
             docs, keys, many = docs[order], keys[order], many[order]
@@ -166,8 +176,8 @@ def _by_part(parts: int, docs: np.ndarray, **columns: np.ndarray) -> pa.Table:
     columns = {k: v[order] for k, v in columns.items()}
     rows = list(zip(*_groups(part)))
     out = {"part": pa.array([int(part[a]) for a, _ in rows], pa.int64()),
-           "docs": pa.array([docs[a:b].tobytes() for a, b in rows], pa.binary())}
-    return pa.table(out | {k: pa.array([v[a:b].tobytes() for a, b in rows], pa.binary()) for k, v in columns.items()})
+           "docs": pa.array([_pack(docs[a:b]) for a, b in rows], pa.binary())}
+    return pa.table(out | {k: pa.array([_pack(v[a:b]) for a, b in rows], pa.binary()) for k, v in columns.items()})
 
 
 # -- 2: passages under shared keys -------------------------------------------
@@ -175,9 +185,34 @@ def _by_part(parts: int, docs: np.ndarray, **columns: np.ndarray) -> pa.Table:
 _PASSAGES = "bucket int, docs binary, copies binary, places binary, lengths binary, text binary"
 
 
-def _copy(text: np.ndarray) -> int:
-    """Tells rows apart that share a doc_id."""
-    return xxhash.xxh3_64_intdigest(text.tobytes()) >> 1
+def _in_order(ids: list, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
+    """(doc_id, copy, row) by doc_id; copy numbers the texts that share a doc_id."""
+    rows = defaultdict(list)
+    for i, doc in enumerate(ids):
+        if doc is not None:
+            rows[doc].append(i)
+    out = []
+    for doc in sorted(rows):
+        texts = [_digest(data[off[i]:off[i + 1]]) for i in rows[doc]] if len(rows[doc]) > 1 else [b""]
+        number = {t: k for k, t in enumerate(sorted(set(texts)))}
+        out += [(doc, number[t], i) for t, i in zip(texts, rows[doc])]
+    return out
+
+
+def _digest(text: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(text.tobytes())
+
+
+#: Kinds of a passage's numbers; a text is under 4 GB.
+_KINDS = {"docs": np.int64, "copies": np.uint32, "places": np.uint32, "lengths": np.uint32}
+
+
+def _numbers(*columns) -> list[bytes]:
+    return [_pack(np.array(x, kind)) for x, kind in zip(columns, _KINDS.values())]
+
+
+def _read_numbers(table: pa.Table) -> list[np.ndarray]:
+    return [_column(table, c, kind).astype(np.int64) for c, kind in _KINDS.items()]
 
 
 def _passages(buckets: int, sort_buckets: int):
@@ -190,12 +225,12 @@ def _passages(buckets: int, sort_buckets: int):
         seen: dict[bytes, int] = {}
         sent, told = [], []
         # a passage's smallest document first
-        for doc, i in sorted((doc, i) for i, doc in enumerate(ids) if doc is not None):
+        for doc, copy, i in _in_order(ids, data, off):
             a, b = np.searchsorted(docs, [doc, doc + 1])
             if a == b:
                 continue
             mine, text = keys[a:b], data[off[i]:off[i + 1]]
-            raw, copy = text.tobytes(), _copy(text)
+            raw = text.tobytes()
             for k, x, y in key_runs(text, buckets):
                 at = np.minimum(np.searchsorted(mine, k), len(mine) - 1)
                 hit = np.flatnonzero(mine[at] == k)
@@ -211,11 +246,9 @@ def _passages(buckets: int, sort_buckets: int):
         to = np.array([s[0] for s in sent], np.int64)
         for a, b in zip(*_groups(to)):
             _, d, c, p, passages = zip(*sent[a:b])
-            rows.append((int(to[a]), _blob(d, np.int64), _blob(c, np.int64), _blob(p, np.int64),
-                         _blob([len(x) for x in passages], np.int64), b"".join(passages)))
+            rows.append((int(to[a]), *_numbers(d, c, p, [len(x) for x in passages]), _pack(b"".join(passages))))
         if told:
-            d, c, p, n = zip(*told)
-            rows.append((-1 - int(left.column("part")[0].as_py()), *(_blob(x, np.int64) for x in (d, c, p, n)), b""))
+            rows.append((-1 - int(left.column("part")[0].as_py()), *_numbers(*zip(*told)), _pack(b"")))
         bucket, *blobs = zip(*rows) if rows else ([],) * 6
         return pa.table([pa.array(bucket, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)],
                         names=["bucket", "docs", "copies", "places", "lengths", "text"])
@@ -242,10 +275,10 @@ def repeats(passages: list[bytes], least: np.ndarray) -> list[np.ndarray]:
 
 def _spans(parts: int):
     def run(table: pa.Table) -> pa.Table:
-        docs, copies, places, lengths = (_column(table, c, np.int64) for c in ("docs", "copies", "places", "lengths"))
+        docs, copies, places, lengths = _read_numbers(table)
         if table.column("bucket")[0].as_py() < 0:
-            return _by_part(parts, docs, copies=copies, places=places, lengths=lengths)
-        text = b"".join(table.column("text").to_pylist())
+            return _spans_by_part(parts, docs, copies, places, lengths)
+        text = b"".join(map(_unpack, table.column("text").to_pylist()))
         ends = np.cumsum(lengths).tolist()
         number: dict[bytes, int] = {}
         which = np.array([number.setdefault(text[b - n:b], len(number)) for b, n in zip(ends, lengths.tolist())])
@@ -263,40 +296,50 @@ def _spans(parts: int):
             a, n = runs[w]
             if len(a):
                 out.append(np.stack([np.full(len(a), docs[i]), np.full(len(a), copies[i]), places[i] + a, n]))
-        docs, copies, places, lengths = np.concatenate(out, axis=1)
-        return _by_part(parts, docs, copies=copies, places=places, lengths=lengths)
+        return _spans_by_part(parts, *np.concatenate(out, axis=1))
     return run
 
 
+def _spans_by_part(parts: int, docs, copies, places, lengths) -> pa.Table:
+    return _by_part(parts, docs, **{c: x.astype(_KINDS[c]) for c, x in zip(("copies", "places", "lengths"), (copies, places, lengths))})
+
+
 # -- 4: cutting ---------------------------------------------------------------
 
-_CUT = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "kept": pa.binary()}
-_CUT_SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+_CUT = {"n_bytes": (pa.int64(), "bigint"), "n_removed": (pa.int64(), "bigint"), "n_spans": (pa.int64(), "bigint"),
+        "kept_sha256": (pa.string(), "string"), "kept": (pa.binary(), "binary"), "kept_text": (pa.string(), "string")}
 
 
-def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
-    docs, copies, places, lengths = (_column(right, c, np.int64) for c in ("docs", "copies", "places", "lengths"))
-    order = np.lexsort((places, docs))
-    docs, copies, places, lengths = (x[order] for x in (docs, copies, places, lengths))
-    data, off = utf8(left.column("text"))
-    rows = []
-    for i, doc in enumerate(left.column("doc_id").to_pylist()):
-        text = data[off[i]:off[i + 1]]
-        edges = np.zeros(len(text) + 1, np.int64)
-        if doc is not None:
-            a, b = np.searchsorted(docs, [doc, doc + 1])
-            if a < b:
-                own = a + np.flatnonzero(copies[a:b] == _copy(text))
+def _cut(outputs: list[str]):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        docs, copies, places, lengths = _read_numbers(right)
+        order = np.lexsort((places, docs))
+        docs, copies, places, lengths = (x[order] for x in (docs, copies, places, lengths))
+        data, off = utf8(left.column("text"))
+        ids = left.column("doc_id").to_pylist()
+        copy_of = {i: copy for _, copy, i in _in_order(ids, data, off)}
+        rows: dict[str, list] = {c: [] for c in _CUT}
+        for i, doc in enumerate(ids):
+            text = data[off[i]:off[i + 1]]
+            edges = np.zeros(len(text) + 1, np.int64)
+            if doc is not None:
+                a, b = np.searchsorted(docs, [doc, doc + 1])
+                own = a + np.flatnonzero(copies[a:b] == copy_of[i])
                 np.add.at(edges, places[own], 1)
                 np.add.at(edges, places[own] + lengths[own], -1)
-        gone = np.cumsum(edges)[:-1] > 0
-        kept = text[~gone].tobytes()
-        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-        rows.append((len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
-    columns = zip(*rows) if rows else ([],) * len(_CUT)
-    cut = {name: pa.array(x, kind) for x, (name, kind) in zip(columns, _CUT.items())}
-    carried = {c: left.column(c) for c in left.column_names if c not in ("doc_id", "text", "part")}
-    return pa.table({"doc_id": left.column("doc_id")} | cut | carried)
+            gone = np.cumsum(edges)[:-1] > 0
+            kept = text[~gone].tobytes()
+            rows["n_bytes"].append(len(text))
+            rows["n_removed"].append(int(gone.sum()))
+            rows["n_spans"].append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
+            rows["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+            if "kept" in outputs:
+                rows["kept"].append(kept)
+            if "kept_text" in outputs:
+                rows["kept_text"].append(kept.decode("utf-8", "ignore"))
+        carried = {c: left.column(c) for c in left.column_names if c not in ("doc_id", "text", "part")}
+        return pa.table({"doc_id": left.column("doc_id")} | {c: pa.array(rows[c], _CUT[c][0]) for c in outputs} | carried)
+    return run
 
 
 def _prime(n: int) -> int:
@@ -306,10 +349,12 @@ def _prime(n: int) -> int:
     return n
 
 
-def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep: str | None = "kept", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each row.
 
-    ``kept`` holds the remaining bytes.  ``carry`` names other columns of
+    ``kept`` holds the remaining bytes; with ``keep="kept_text"`` a column
+    of this name has them as text, without characters that were cut apart,
+    and ``keep=None`` gives neither.  ``carry`` names other columns of
     ``docs`` to take along.
     """
     carried = [F.col(c).alias(f"carried_{c}") for c in carry]
@@ -328,6 +373,8 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     passages = dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_passages(buckets, sort_buckets), _PASSAGES)
     spans = passages.groupBy("bucket").applyInArrow(
         _spans(parts), "part bigint, docs binary, copies binary, places binary, lengths binary")
+    outputs = [c for c in _CUT if c not in ("kept", "kept_text") or c == keep]
     kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in dealt.schema if f.name.startswith("carried_"))
-    cut = dealt.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(_cut, _CUT_SCHEMA + kinds)
-    return cut.select("doc_id", *_CUT, *[F.col(f"carried_{c}").alias(c) for c in carry])
+    schema = "doc_id bigint" + "".join(f", {c} {_CUT[c][1]}" for c in outputs) + kinds
+    cut = dealt.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(_cut(outputs), schema)
+    return cut.select("doc_id", *outputs, *[F.col(f"carried_{c}").alias(c) for c in carry])
