@@ -241,3 +241,16 @@ def classify(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn("held_out", held_out(F.col("doc_id")))
     scored = rows.mapInArrow(run, "doc_id bigint, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= F.lit(threshold)).cast("int"))
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (with a column text) that score ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            data, off = utf8(batch.column("text"))
+            good = [shared.value.score(features(data[off[i]:off[i + 1]])) >= threshold for i in range(len(off) - 1)]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -50,7 +50,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of repeated 50-byte passages removed from every document."""
     from eddy.llm.suffix_dedup import remove_repeats
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(table(spark, sf_dir, "documents"), keep=None)
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_minhash_dedup, op3_chat_format, op4_quality_rules, op5_suffix_dedup, op6_url_filters, op7_quality_classifier, op8_decontamination, op9_sharding, op10_token_counts)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py, one after another."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_minhash_dedup, op3_chat_format, op4_quality_rules, op5_suffix_dedup, op6_url_filters, op7_quality_classifier, op8_decontamination, op9_sharding, op10_token_counts, pipeline)}
 ORACLE = {
     "op3_chat_format": read_back_sql(f"values (-1, 0, 'user', '{HOSTILE}'), (-1, 1, 'assistant', '{HOSTILE}')"),
     "op6_url_filters": judge_urls_sql(),
