@@ -1,14 +1,21 @@
-"""Run the reference's line-fed jobs from the command line.
+"""Run the reference's jobs from the command line.
 
     python -m eddy windowed-join --nav DIR --user DIR
     python -m eddy portfolio --own DIR --nav DIR
     python -m eddy holdings --own DIR [--poison-user N] [--restarts 1]
     python -m eddy timeout --debit DIR --credit DIR [--ttl-ms 10000]
+    python -m eddy route --records DIR --even DIR --odd DIR --dead DIR
+    python -m eddy tables --records DIR --tuple DIR --employee DIR --bean DIR
 
-Each DIR is a folder of text files, one record per line, read as a stream.
-Results go to the console sink; checkpoints go under
-``spark.checkpoint.dir`` (``streams/<job>``), so running the same job again
-resumes where it stopped.  ``--once`` processes what is there and exits.
+The first four read folders of text files, one record per line, as streams
+and print every row; a micro-batch runs every 20 s.  ``route`` and
+``tables`` read folders of JSON lines (id, name, age, title; ``tables``
+also timestamp, partition and offset) in place of topics and write Parquet.
+
+Checkpoints go to ``--checkpoint``, else under ``spark.checkpoint.dir``
+(``streams/<job>``), so running the same job again resumes where it
+stopped.  A local run with neither starts afresh each time.  ``--once``
+processes what is there and exits.
 """
 
 from __future__ import annotations
@@ -20,8 +27,8 @@ import sys
 
 from eddy.functions.time import TIMEOUT_MS
 from eddy.session import build_session
-from eddy.sinks.console import sync_label
-from eddy.sources.text import stream_lines
+from eddy.sinks.console import printing, sync_label
+from eddy.sources.text import MAX_FILES_PER_TRIGGER, stream_lines
 from eddy.streaming import jobs, runtime
 
 
@@ -50,9 +57,20 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--debit", required=True)
     j.add_argument("--credit", required=True)
     j.add_argument("--ttl-ms", type=int, default=TIMEOUT_MS)
+    j = sub.add_parser("route", help="even records to one output, odd ones keyed to another")
+    for a in ("--records", "--even", "--odd", "--dead"):
+        j.add_argument(a, required=True)
+    j = sub.add_parser("tables", help="one record stream upserted into three tables")
+    for a in ("--records", "--tuple", "--employee", "--bean"):
+        j.add_argument(a, required=True)
     return p
 
 
+# The record of the topic-fed jobs, and where a topic has it.
+RECORD = "id bigint, name string, age int, title string"
+PLACE = "timestamp timestamp, partition int, offset bigint"
+
+
 def _frame(spark, args):
     if args.job == "windowed-join":
         return jobs.nav_user_join_job(stream_lines(spark, args.nav), stream_lines(spark, args.user))
@@ -64,6 +82,20 @@ def _frame(spark, args):
                                   args.ttl_ms)
 
 
+def _topic_job(spark, args, checkpoint):
+    def records(schema):
+        return (spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
+                .json(args.records))
+
+    def append(path):
+        return lambda d: d.write.mode("append").parquet(path)
+
+    if args.job == "route":
+        return jobs.route_job(records(RECORD), append(args.even), append(args.odd), append(args.dead), checkpoint)
+    logs = jobs.upsert_logs(args.tuple, args.employee, args.bean)
+    return jobs.table_sink_job(records(f"{RECORD}, {PLACE}"), *(x.write_batch for x in logs.values()), checkpoint)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     parts = args.partitions
@@ -71,21 +103,21 @@ def main(argv: list[str] | None = None) -> int:
         m = re.match(r"local\[(\d+)\]", args.master)
         parts = 2 * (int(m.group(1)) if m else (os.cpu_count() or 1))
     spark = build_session(args.master, shuffle_partitions=parts, app_name=f"eddy-{args.job}")
-    # the holdings job prints under a "sync_<ms>" label, as the reference does
-    name = sync_label() if args.job == "holdings" else args.job.replace("-", "_")
+    checkpoint = args.checkpoint or runtime.checkpoint_location(spark, args.job)
 
     def start():
-        w = (_frame(spark, args).writeStream.format("console").outputMode("append")
-             .option("truncate", "false").option("numRows", str(2 ** 31 - 1))
-             .queryName(name)
-             .option("checkpointLocation",
-                     args.checkpoint or runtime.checkpoint_location(spark, args.job)))
-        w = w.trigger(availableNow=True) if args.once else w
-        return w.start()
+        if args.job in ("route", "tables"):
+            return _topic_job(spark, args, checkpoint)
+        # the holdings job prints under a "sync_<ms>" label, as the reference does
+        label = sync_label() if args.job == "holdings" else None
+        return runtime.start(printing(_frame(spark, args), label), spark, args.job.replace("-", "_"),
+                             once=args.once, checkpoint=checkpoint)
 
     attempts = args.restarts if args.job == "holdings" else 0
     delay = args.restart_delay_ms if args.job == "holdings" else 0
-    runtime.run_with_restart(start, attempts=attempts, delay_ms=delay)
+    # a topic-fed job ends, if it should, when all input is processed
+    until = (lambda q: True) if args.once and args.job in ("route", "tables") else None
+    runtime.run_with_restart(start, attempts=attempts, delay_ms=delay, until=until)
     spark.stop()
     return 0
 

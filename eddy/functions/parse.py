@@ -19,10 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The field separator of every line format, and the class of
+# The field separator of every line format, and the
 # characters a JVM ``trim`` removes (code points 0 to 32).
 SEPARATOR = ","
-TRIM_CLASS = r"[\x00-\x20]"
+TRIMMED = "".join(map(chr, range(33)))
 
 
 def _col(c) -> Column:
@@ -31,12 +31,12 @@ def _col(c) -> Column:
 
 def jtrim(c) -> Column:
     """Trim like the JVM: strip chars <= U+0020 at both ends."""
-    return F.regexp_replace(_col(c), rf"^{TRIM_CLASS}+|{TRIM_CLASS}+$", "")
+    return F.btrim(_col(c), F.lit(TRIMMED))
 
 
 def split_fields(line) -> Column:
     """Split a line on the separator, dropping trailing empty fields."""
-    body = F.regexp_replace(_col(line), f"{SEPARATOR}+$", "")
+    body = F.rtrim(_col(line), F.lit(SEPARATOR))
     return F.split(body, SEPARATOR, -1)
 
 

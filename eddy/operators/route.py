@@ -6,7 +6,7 @@ filter plus a projection, so it fuses into the scan's codegen stage.
 
 Null ids: ``null % 2`` is null, so a null id leaves *both* branches (the
 reference's unboxing would have called it even).  ``dead_letters`` gives
-those rows so they are counted rather than lost silently.
+those rows, and the routing job writes them to an output of their own.
 """
 
 from __future__ import annotations

@@ -11,20 +11,29 @@ stored value.  As batch plans:
 Both are grouped aggregates with map-side partial aggregation, so a hot
 key is reduced on every mapper before the one shuffle.
 
-``UpsertLog`` is the streaming sink: each micro-batch appends its own
-pre-reduced rows under ``_batch=<id>`` (overwriting that folder on a
+``UpsertLog`` is a streaming sink: each micro-batch appends its own
+pre-reduced rows under ``log/_batch=<id>`` (overwriting that folder on a
 replay, so a retried batch is idempotent), and the table is the upsert
-over all batches.  A micro-batch never rewrites the whole table.
+over all batches.  A micro-batch never rewrites the whole table;
+``compact`` reduces the batches so far into a base, from time to time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The three table shapes of the reference's table-sink job.
+TUPLE_ORDER = ("name", "id", "age", "title")
+EMPLOYEE_FIELDS = {"id": "eId", "name": "eName", "title": "eTitle", "age": "eAge"}
+TABLE_KEY = ("id", "name")
+TABLE_VALUES = ("age", "title")
+
+
 def bind_positional(df: DataFrame, source_order: Sequence[str],
                     target_order: Sequence[str]) -> DataFrame:
     """Bind fields by position, as ``INSERT .. (cols) VALUES (?, ..)``.
@@ -78,30 +87,65 @@ class UpsertLog:
     """Streaming upsert sink as an append-only log of reduced micro-batches.
 
     Use ``log.write_batch`` as the ``foreachBatch`` function and
-    ``log.read(spark)`` for the current table.
+    ``log.read(spark)`` for the current table.  ``order`` (columns) must
+    not tie between two writes of a key in one micro-batch.
+
+    A column's latest write is kept with the place it has in the order
+    (``_at_<column>``), so batches, and a base that ``compact`` made of
+    them, reduce further in any grouping.
     """
 
     BATCH = "_batch"
 
     def __init__(self, path: str, keys: Sequence[str], order: Sequence[str] | str,
                  values: Sequence[str], ignore_nulls: bool = False):
-        self.path, self.keys, self.values = path, list(keys), list(values)
+        self.log, self.base = f"{path}/log", f"{path}/base"
+        self.keys, self.values = list(keys), list(values)
         self.order = [order] if isinstance(order, str) else list(order)
         self.ignore_nulls = ignore_nulls
 
-    def _reduce(self, df: DataFrame, order: list[str]) -> DataFrame:
-        f = upsert_ignore_nulls if self.ignore_nulls else upsert_last_write
-        carried = self.values + [o for o in self.order
-                                 if o not in self.values and o not in self.keys]
-        return f(df, self.keys, order, carried)
+    def _reduce(self, df: DataFrame) -> DataFrame:
+        """The latest value of each column, and its place ``_at_<column>``."""
+        aggs = []
+        for v in self.values:
+            at = F.col(f"_at_{v}")
+            at = F.when(F.col(v).isNotNull(), at) if self.ignore_nulls else at
+            aggs += [F.max_by(F.col(v), at).alias(v), F.max(at).alias(f"_at_{v}")]
+        return df.groupBy(*self.keys).agg(*aggs)
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        reduced = self._reduce(df, self.order).withColumn(self.BATCH, F.lit(int(batch_id)))
-        (reduced.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.BATCH).parquet(self.path))
+        """Append micro-batch ``batch_id``, or write it anew."""
+        place = F.struct(F.lit(int(batch_id)).cast("bigint").alias("batch"), *self.order)
+        placed = df.select(*self.keys, *self.values, *[place.alias(f"_at_{v}") for v in self.values])
+        (self._reduce(placed).withColumn(self.BATCH, F.lit(int(batch_id)).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.BATCH).parquet(self.log))
+
+    def _bases(self, spark: SparkSession) -> tuple[DataFrame | None, int]:
+        """The newest base and the last batch in it (-1: no base yet)."""
+        try:
+            bases = spark.read.parquet(self.base)
+        except AnalysisException:            # nothing compacted so far
+            return None, -1
+        upto = bases.agg(F.max(self.BATCH).alias("b")).first()["b"]
+        return bases.where(F.col(self.BATCH) == F.lit(upto)), int(upto)
+
+    def _rows(self, spark: SparkSession, last: int | None = None) -> DataFrame:
+        base, upto = self._bases(spark)
+        log = spark.read.parquet(self.log).where(F.col(self.BATCH) > F.lit(upto))
+        if last is not None:
+            log = log.where(F.col(self.BATCH) <= F.lit(int(last)))
+        return log if base is None else base.unionByName(log)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        log = spark.read.parquet(self.path)
-        table = self._reduce(log, [self.BATCH] + self.order)
-        return table.select(*self.keys, *self.values)
+        return self._reduce(self._rows(spark)).select(*self.keys, *self.values)
+
+    def compact(self, spark: SparkSession, last: int) -> None:
+        """Reduce the batches up to ``last`` (closed ones) into a new base.
+
+        Readers take the newest base and only the batches after it; older
+        bases and batches can be cleaned away by whoever keeps the folder.
+        """
+        (self._reduce(self._rows(spark, last)).withColumn(self.BATCH, F.lit(int(last)).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.BATCH).parquet(self.base))

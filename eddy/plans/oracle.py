@@ -142,7 +142,15 @@ FROM events GROUP BY user_id, event_type
 _TYPES = ("view", "click", "purchase", "signup", "error")
 ORACLE["upsert_ignore_nulls"] = "SELECT user_id, max(event_id) AS event_id, " + ", ".join(
     f"arg_max(value, event_id) FILTER (WHERE event_type = '{t}') AS {t}_value" for t in _TYPES
-) + " FROM events GROUP BY user_id"
+) + """, arg_max(value, event_id) FILTER (WHERE event_type NOT IN ('view', 'click', 'purchase', 'signup', 'error')
+       OR event_type IS NULL) AS other_value FROM events GROUP BY user_id"""
+
+for _name in ("table_bind_tuple", "table_rename_employee"):
+    ORACLE[_name] = """
+SELECT user_id AS id, event_type AS name, arg_max(floor(value)::int, event_id) AS age,
+       arg_max(props, event_id) AS title
+FROM events GROUP BY user_id, event_type
+"""
 
 ORACLE["parse_pair"] = "SELECT o_orderkey, o_custkey FROM orders"
 

@@ -1,8 +1,10 @@
 """The registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
-Every query reads whole tables from ``sf_dir`` and builds a lazy plan;
-nothing is collected.  Column names match the DuckDB oracle in
-``eddy.plans.oracle``.
+Every query reads whole tables from ``sf_dir``.  No rows are collected, but
+some queries run jobs while they are built: those that cut their input into
+ranges (the timeouts) or read it several times (portfolio and lot
+valuation) write it to the shared folder first.  Column names match the
+DuckDB oracle in ``eddy.plans.oracle``.
 """
 
 from __future__ import annotations
@@ -136,7 +138,8 @@ def upsert_last_write(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     ["event_id", "ts_us", "value"])
 
 
-# The event types; each event updates only its own type's field.
+# The event types; each event updates only its own type's
+# field, and one of any other type the field ``other_value``.
 EVENT_TYPES = ("view", "click", "purchase", "signup", "error")
 
 
@@ -146,9 +149,36 @@ def upsert_ignore_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _event_record(spark, sf_dir)
     fields = [F.when(F.col("event_type") == t, F.col("value")).alias(f"{t}_value")
               for t in EVENT_TYPES]
+    known = F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False))
+    fields.append(F.when(~known, F.col("value")).alias("other_value"))
     partial = ev.select("user_id", "event_id", *fields)
     return upsert.upsert_ignore_nulls(partial, ["user_id"], "event_id",
-                                      ["event_id"] + [f"{t}_value" for t in EVENT_TYPES])
+                                      ["event_id"] + [f"{t}_value" for t in EVENT_TYPES]
+                                      + ["other_value"])
+
+
+def _table_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as the records of the table-sink job: id, name, age, title, in event order."""
+    return T.events(spark, sf_dir).select(
+        "event_id", F.col("user_id").alias("id"), F.col("event_type").alias("name"),
+        F.floor("value").cast("int").alias("age"), F.col("props").alias("title"))
+
+
+@register("table_bind_tuple")
+def table_bind_tuple(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as (name, id, age, title) tuples, bound by place, last write wins."""
+    order = (*upsert.TUPLE_ORDER, "event_id")
+    bound = upsert.bind_positional(_table_records(spark, sf_dir).select(*order), order, order)
+    return upsert.upsert_last_write(bound, upsert.TABLE_KEY, "event_id", upsert.TABLE_VALUES)
+
+
+@register("table_rename_employee")
+def table_rename_employee(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6, P10: records as employees, mapped to columns by name, last write wins."""
+    keep = {"event_id": "event_id"}
+    employee = upsert.rename(_table_records(spark, sf_dir), {**upsert.EMPLOYEE_FIELDS, **keep})
+    rows = upsert.rename(employee, {**{v: k for k, v in upsert.EMPLOYEE_FIELDS.items()}, **keep})
+    return upsert.upsert_last_write(rows, upsert.TABLE_KEY, "event_id", upsert.TABLE_VALUES)
 
 
 @register("parse_pair")

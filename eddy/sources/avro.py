@@ -46,10 +46,10 @@ def decode_framed(df: DataFrame, schemas: dict[int, str], reader_schema: str,
 
 
 def undecodable(df: DataFrame, schemas: dict[int, str], value_col: str = "value") -> DataFrame:
-    """Frames with a bad magic byte or a writer id not in ``schemas``."""
+    """Frames with a bad magic byte or a writer id not in ``schemas``, and null or short values."""
     v = F.col(value_col)
     known = frame_schema_id(v).isin([int(k) for k in schemas])
-    return df.where(~(frame_magic_ok(v) & known))
+    return df.where(~F.coalesce(frame_magic_ok(v) & known, F.lit(False)))
 
 
 def encode_framed(record: Column, schema_id: int, schema: str) -> Column:

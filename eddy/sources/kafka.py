@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 from eddy.sources.avro import LONG_KEY_SCHEMA, encode_framed
 
 
+# Records read in one micro-batch (see ``text.MAX_FILES_PER_TRIGGER``).
+MAX_OFFSETS_PER_TRIGGER = 5_000_000
+
+
 def source_options(bootstrap: str, topic: str, starting: str = "earliest",
-                   max_offsets_per_trigger: int | None = None) -> dict[str, str]:
-    """S3: options for ``readStream.format("kafka")``."""
+                   max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER) -> dict[str, str]:
+    """S3: options for ``readStream.format("kafka")``; ``None`` sets no bound."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
             "startingOffsets": starting}
     if max_offsets_per_trigger:

@@ -17,9 +17,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+# Files read in one micro-batch: keyed state sees the rows of one key in one
+# micro-batch together, so this bounds what a task holds of a key.
+MAX_FILES_PER_TRIGGER = 64
+
+
 def stream_lines(spark: SparkSession, path: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """New files in ``path`` as a stream of lines."""
+                 max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """New files in ``path`` as a stream of lines; ``None`` takes all there are at once."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))

@@ -9,36 +9,34 @@ sequence column before applying them.
 
 ``RunningHoldings``  A1: holding after each ownership change.
 ``Portfolio``        J2: each price revalues every holder (map state).
-``Lots``             J3: each price revalues every earlier lot (list state).
 ``ToggleTimeout``    J4 as coded: processing-time timer per opening.
 ``CleanTimeout``     J4 as intended, in event time: rows wait in list
                      state until the watermark passes them, then replay in
                      order, so results do not depend on batch boundaries.
 ``SidedTimeout``     J4 by side, in event time, with per-side queues.
-``EventTimeToggle``  J4 as coded, with event time as the clock (exact).
 
 Rows travel between the JVM and the Python worker in Arrow batches; only
 the per-record state machine, which is what the reference computes, runs
-row by row.
+row by row.  (J3, each price with every earlier lot, is a stream-stream
+join: see ``jobs.lot_valuation``.)
 
 The reference's state never expires.  ``state_ttl_ms`` (holdings,
-portfolio, lots, toggle) gives every state variable a processing-time
+portfolio, toggle) gives every state variable a processing-time
 time-to-live; the job then runs in ``processingTime`` mode, which TTL needs.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
-from itertools import chain
 
+import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 HOLDINGS_SCHEMA = "nav_id bigint, user_id bigint, seq bigint, share bigint, holding bigint"
 PORTFOLIO_SCHEMA = ("user_id bigint, nav_id bigint, unit_value bigint, "
                     "new_valuation bigint, seq bigint")
-LOTS_SCHEMA = ("nav_id bigint, user_id bigint, share bigint, unit_value bigint, "
-               "new_valuation bigint, nav_seq bigint, lot_seq bigint")
 TRANSACTION_SCHEMA = "trans_id bigint, timestamp bigint, event_id bigint, amount string"
 
 
@@ -53,19 +51,21 @@ class _Ttl(StatefulProcessor):
 
 
 class RunningHoldings(_Ttl):
-    """A1, keyed by (nav_id, user_id): value state = holding so far."""
+    """A1, keyed by (nav_id, user_id): value state = holding so far.
+
+    A pandas processor: the rows of the key in the micro-batch come as
+    frames, and their holdings are one cumulative sum.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.holding = handle.getValueState("holding", "holding bigint", self.state_ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         cur = self.holding.get()
-        h = cur[0] if cur else 0
-        for r in sorted(rows, key=lambda r: r["seq"]):
-            h += r["share"]
-            yield Row(nav_id=r["nav_id"], user_id=r["user_id"], seq=r["seq"],
-                      share=r["share"], holding=h)
-        self.holding.update((h,))
+        out = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+        out["holding"] = out["share"].cumsum() + (cur[0] if cur else 0)
+        self.holding.update((int(out["holding"].iloc[-1]),))
+        yield out[["nav_id", "user_id", "seq", "share", "holding"]]
 
     def close(self) -> None:
         pass
@@ -113,35 +113,6 @@ class Portfolio(_Ttl):
         pass
 
 
-class Lots(_Ttl):
-    """J3, keyed by nav_id: list state of (user_id, share, seq) lots.
-
-    A price streams the stored list and then this batch's new lots; new
-    lots are appended in one call at the end of the batch.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lots = handle.getListState("lots", "user_id bigint, share bigint, seq bigint",
-                                        self.state_ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        added = []
-        for r in sorted(rows, key=_price_first):
-            if r["kind"] == "own":
-                added.append((r["user_id"], r["share"], r["seq"]))
-                continue
-            stored = self.lots.get() if self.lots.exists() else iter(())
-            for user, share, lot_seq in chain(stored, added):
-                yield Row(nav_id=r["nav_id"], user_id=user, share=share,
-                          unit_value=r["unit_value"], new_valuation=r["unit_value"] * share,
-                          nav_seq=r["seq"], lot_seq=lot_seq)
-        if added:
-            self.lots.appendList(added)
-
-    def close(self) -> None:
-        pass
-
-
 class _Wake:
     """One outstanding event-time timer per key, kept in value state.
 
@@ -301,7 +272,7 @@ class SidedTimeout(StatefulProcessor):
         pending.sort(key=lambda t: (t[1], t[2]))
         ready = [t for t in pending if t[1] < wm]
         later = [t for t in pending if t[1] >= wm]
-        queue = {s: (list(self.queue[s].get()) if self.queue[s].exists() else [])
+        queue = {s: deque(self.queue[s].get() if self.queue[s].exists() else ())
                  for s in self.sides}
         last = {s: (self.last.getValue((s,)) or (None,))[0] for s in self.sides}
         out = []
@@ -310,7 +281,7 @@ class SidedTimeout(StatefulProcessor):
             other = self.sides[1] if side == self.sides[0] else self.sides[0]
             q = queue[other]
             while q and q[0][1] < t[1] - self.ttl_ms:
-                out.append(q.pop(0))
+                out.append(q.popleft())
             q.clear()                                   # all within ttl: matched
             if last[other] is None or t[1] - last[other] > self.ttl_ms:
                 queue[side].append(t)
@@ -319,9 +290,9 @@ class SidedTimeout(StatefulProcessor):
         for s in self.sides:                            # no partner can come any more
             q = queue[s]
             while q and q[0][1] + self.ttl_ms < wm:
-                out.append(q.pop(0))
+                out.append(q.popleft())
             if q:
-                self.queue[s].put(q)
+                self.queue[s].put(list(q))
                 wakes.append(q[0][1] + self.ttl_ms + 1)
             else:
                 self.queue[s].clear()
@@ -347,77 +318,3 @@ class SidedTimeout(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-class EventTimeToggle(StatefulProcessor):
-    """J4 exactly as coded, keyed by trans_id, on event time (``timestamp`` ms).
-
-    The reference's rules with its clock replaced by event time, so the
-    stream gives the batch ``timeout_toggle`` result: an arrival opens a
-    closed key (arming a deadline at ``timestamp + ttl`` that is never
-    cancelled) or closes an open one; a deadline emits whatever is open
-    then, without clearing it.  Rows wait until the watermark passes them;
-    arrivals and deadlines are merged in time order, an arrival exactly
-    at a deadline first.  One wake-up timer per key.
-    """
-
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = int(ttl_ms)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.wake = _Wake(handle)
-        self.buffer = handle.getListState("buffer", TRANSACTION_SCHEMA)
-        self.open = handle.getValueState("open", TRANSACTION_SCHEMA)
-        self.deadlines = handle.getListState("deadlines", "at bigint")
-
-    def _advance(self, wm: int, new: list[tuple]) -> Iterator[Row]:
-        pending = (list(self.buffer.get()) if self.buffer.exists() else []) + new
-        pending.sort(key=lambda t: (t[1], t[2]))
-        ready = [t for t in pending if t[1] < wm]
-        later = [t for t in pending if t[1] >= wm]
-        deadlines = [d for (d,) in self.deadlines.get()] if self.deadlines.exists() else []
-        opened = self.open.get() if self.open.exists() else None
-        i = 0
-        while True:
-            arrival = ready[i] if i < len(ready) else None
-            due = deadlines[0] if deadlines and deadlines[0] < wm else None
-            if arrival is None and due is None:
-                break
-            if due is not None and (arrival is None or due < arrival[1]):
-                deadlines.pop(0)
-                if opened is not None:
-                    yield _tx_row(opened)
-                continue
-            if opened is not None:
-                opened = None
-            else:
-                opened = arrival
-                deadlines.append(arrival[1] + self.ttl_ms)   # arrivals come in time order
-            i += 1
-        if opened is None:
-            self.open.clear()
-        else:
-            self.open.update(opened)
-        wakes = []
-        if deadlines:
-            self.deadlines.put([(d,) for d in deadlines])
-            wakes.append(deadlines[0] + 1)
-        else:
-            self.deadlines.clear()
-        if later:
-            self.buffer.put(later)
-            wakes.append(later[0][1] + 1)
-        else:
-            self.buffer.clear()
-        self.wake.set(min(wakes) if wakes else None)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r["trans_id"], r["timestamp"], r["event_id"], r["amount"]) for r in rows]
-        yield from self._advance(timerValues.getCurrentWatermarkInMs(), new)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.wake.fired()
-        yield from self._advance(timerValues.getCurrentWatermarkInMs(), [])
-
-    def close(self) -> None:
-        pass

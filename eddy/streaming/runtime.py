@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eddy.session import checkpoint_dir
 
@@ -101,21 +101,22 @@ def read_state(spark: SparkSession, checkpoint: str, operator_id: int = 0,
     return r.load()
 
 
-def start(df: DataFrame, spark: SparkSession, job: str, fmt: str = "parquet",
-          path: str | None = None, output_mode: str = "append",
-          interval: str | None = CHECKPOINT_INTERVAL, options: dict | None = None) -> StreamingQuery:
-    """Start ``df`` with a stable checkpoint under the shared folder.
+def start(out: DataFrame | DataStreamWriter, spark: SparkSession, job: str,
+          path: str | None = None, interval: str | None = CHECKPOINT_INTERVAL,
+          once: bool = False, checkpoint: str | None = None) -> StreamingQuery:
+    """Start a stream with a stable checkpoint under the shared folder.
 
-    Starting again with the same ``job`` resumes from the last committed
-    micro-batch with its state (T11).  ``interval`` paces micro-batches
-    (the reference checkpoints every 20 s); ``None`` runs them back to back.
+    ``out``: a stream writer (e.g. ``console.printing``), or a streaming
+    DataFrame, which is appended to Parquet in ``path``.  Starting again
+    with the same ``job`` (or ``checkpoint`` folder) resumes from the last
+    committed micro-batch with its state.  ``interval`` paces micro-batches
+    (the reference checkpoints every 20 s); ``None`` runs them back to back,
+    and ``once`` takes the input there is and ends.
     """
-    w = (df.writeStream.format(fmt).outputMode(output_mode).queryName(job)
-         .option("checkpointLocation", checkpoint_location(spark, job)))
-    if path:
-        w = w.option("path", path)
-    for k, v in (options or {}).items():
-        w = w.option(k, v)
-    if interval:
+    w = out.writeStream.format("parquet").option("path", path) if isinstance(out, DataFrame) else out
+    w = w.queryName(job).option("checkpointLocation", checkpoint or checkpoint_location(spark, job))
+    if once:
+        w = w.trigger(availableNow=True)
+    elif interval:
         w = w.trigger(processingTime=interval)
     return w.start()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eddy.functions import parse
 from eddy.functions.time import with_event_time
-from eddy.sinks.console import sync_label, to_console
+from eddy.sinks.console import line, sync_label, to_console
 from eddy.sources.text import read_lines, stream_lines
 from eddy.streaming import jobs, runtime
 from test_fixture_join import NAV_LINES, USER_LINES
@@ -47,6 +47,21 @@ def test_event_time_stamp(spark):
     assert out.select(F.unix_millis("event_time")).first()[0] == 1_700_000_000_123
 
 
+def test_printed_lines():
+    from pyspark.sql import Row
+    assert line(Row(a=1, b=None, c="x")) == "(1,null,x)"
+    assert line(Row(a=1), "sync_5") == "sync_5> (1)"
+
+
+def test_printing_reaches_every_row(spark, scratch):
+    """1,000 rows of one micro-batch all pass the writer (the CLI test reads the output)."""
+    p = write_text(os.path.join(scratch, "x"), [str(i) for i in range(1000)])
+    q = to_console(stream_lines(spark, p), label=sync_label(), checkpoint=os.path.join(scratch, "ck"))
+    q.processAllAvailable()
+    q.stop()
+    assert q.exception() is None and sum(x["numInputRows"] for x in q.recentProgress) == 1000
+
+
 def test_console_sink_and_state_reader(spark, scratch):
     p = write_text(os.path.join(scratch, "own"), ["123, 1, 10", "123, 2, 5", "123, 1, -3"])
     own = (stream_lines(spark, p)
