@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eddy.llm import oracle_sql
 from eddy.llm.chat_format import read_back_sql
 from eddy.llm.host_trust import judge_urls_sql
 
@@ -94,6 +95,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_minhash_dedup, op3_chat_format, op4_quality_rules, op5_suffix_dedup, op6_url_filters, op7_quality_classifier, op8_decontamination, op9_sharding, op10_token_counts, pipeline)}
 ORACLE = {
+    "op2_minhash_dedup": oracle_sql.NEAR_DUPLICATES,
+    "op5_suffix_dedup": oracle_sql.REMOVED_REPEATS,
+    "op8_decontamination": oracle_sql.CONTAMINATED,
     "op3_chat_format": read_back_sql(f"values (-1, 0, 'user', '{HOSTILE}'), (-1, 1, 'assistant', '{HOSTILE}')"),
     "op6_url_filters": judge_urls_sql(),
 }
