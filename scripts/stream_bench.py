@@ -64,6 +64,7 @@ def run(spark: SparkSession, sf_dir: str, n: int = 4) -> tuple[dict, dict]:
         "windowed_join": lambda: jobs.windowed_join(src("nav"), src("own"), "2 hours",
                                                     "1 hour", lag="3 hours"),
         "running_holdings": lambda: jobs.running_holdings(src("own")),
+        "lot_valuation": lambda: jobs.lot_valuation(src("own"), src("nav")),
         "portfolio_valuation": lambda: jobs.portfolio_valuation(src("own"), src("nav")),
         "timeout_clean": lambda: jobs.timeout_clean(src("tx"), TTL_MS, lag="1 hour"),
         "timeout_sided": lambda: jobs.timeout_sided(src("tx"), TTL_MS, lag="1 hour"),

@@ -6,15 +6,32 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMOKE
+from eddy.plans.queries import QUERIES
 
-# Exchanges per query with broadcast joins off, before adaptive execution runs
-# equal ones once (running_holdings then has three; see PLANS.md).
-EXCHANGES = {
-    "windowed_join": 2, "window_assign": 0, "running_holdings": 4, "current_holdings": 1,
-    "union_transactions": 0,
-    "route_even": 0, "route_odd_keyed": 0, "upsert_last_write": 1, "upsert_ignore_nulls": 1,
-    "parse_pair": 0, "parse_nav_update": 0, "parse_ownership": 0, "parse_debit": 0,
-    "parse_credit": 0, "table_bind_tuple": 1, "table_rename_employee": 1,
+# (exchanges, scans) of the final plans with broadcast joins off (see PLANS.md);
+# exchanges that adaptive execution ran once for two uses count once.
+SHAPES = {
+    "windowed_join": (2, 2),
+    "window_assign": (0, 1),
+    "running_holdings": (3, 1),
+    "current_holdings": (1, 1),
+    "portfolio_valuation": (6, 3),
+    "lot_valuation": (2, 2),
+    "union_transactions": (0, 2),
+    "timeout_toggle": (3, 1),
+    "timeout_clean": (6, 1),
+    "timeout_sided": (5, 1),
+    "route_even": (0, 1),
+    "route_odd_keyed": (0, 1),
+    "upsert_last_write": (1, 1),
+    "upsert_ignore_nulls": (1, 1),
+    "table_bind_tuple": (1, 1),
+    "table_rename_employee": (1, 1),
+    "parse_pair": (0, 1),
+    "parse_nav_update": (0, 1),
+    "parse_ownership": (0, 1),
+    "parse_debit": (0, 1),
+    "parse_credit": (0, 1),
 }
 
 
@@ -30,10 +47,17 @@ def _plan(spark, name):
     return E.queries()[name](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
 
 
-def test_exchange_counts(no_broadcast):
-    for name, n in EXCHANGES.items():
-        plan = _plan(no_broadcast, name)
-        assert len(re.findall(r"\bExchange\b", plan)) == n, (name, plan)
+def _final(spark, name):
+    run = E.queries()[name](spark, SF_SMOKE)._jdf.queryExecution()
+    run.toRdd().count()
+    return run.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_exchange_and_scan_counts(no_broadcast):
+    for name in QUERIES:
+        plan = _final(no_broadcast, name)
+        got = len(re.findall(r"(?m)^[\s:+-]*Exchange\b", plan)), plan.count("FileScan parquet")
+        assert got == SHAPES[name], (name, got, plan)
 
 
 def test_upserts_aggregate_by_hash(no_broadcast):
