@@ -213,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     draw = F.pmod(F.xxhash64(F.lit(29), "id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     chance = F.when(F.col("label") == 1, F.lit(sample / max(1, classes.get(1, 0)))).otherwise(F.lit(sample / max(1, classes.get(0, 0))))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text") \
-        .join(known.withColumn("pick", draw < chance), F.col("doc_id") == F.col("id")).select("text", "label", "pick")
+        .join(known.withColumn("pick", draw < chance).hint("merge"), F.col("doc_id") == F.col("id")).select("text", "label", "pick")
     gathered = written(rows.mapInArrow(_gather, _GATHERED), "gathered")
     counts = np.zeros((2, DIM))
     totals = gathered.where("kind = 'count'").select("block", "label", "data").groupBy("block", "label") \
