@@ -43,7 +43,7 @@ from eddy.llm.textarrays import slices, utf8
 
 MARK = "▁"
 THREADS = 2
-CACHE_UNITS = 600_000
+CACHE_UNITS = 300_000
 RUN_UNITS = 512
 SLICE_BYTES = 4 << 20
 # Fixed values of the model format: kinds of models and of pieces.

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 _U = np.uint64
 # Bytes of text handled at once; a longer document is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -97,18 +97,19 @@ class Words:
         return mix(out)
 
 
-_power_cache: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_power_table: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of the hash base and of its inverse (kept up to a slice)."""
-    size = max(1 << 16, 1 << int(n).bit_length())
-    got = _power_cache.get(size)
-    if got is None:
-        got = tuple(np.cumprod(np.append(_U(1), np.full(size, x, np.uint64))) for x in (_BASE, _BASE_INV))
-        if size <= 2 * SLICE_BYTES:
-            _power_cache[size] = got
-    return got[0][:n], got[1][:n + 1]
+    """Powers 0..n of the hash base and of its inverse (a slice's worth is kept)."""
+    if _power_table and n < len(_power_table[0]):
+        power, inverse = _power_table
+    else:
+        size = max(2 * SLICE_BYTES, n)
+        power, inverse = (np.cumprod(np.append(_U(1), np.full(size, x, np.uint64))) for x in (_BASE, _BASE_INV))
+        if size == 2 * SLICE_BYTES:
+            _power_table[:] = power, inverse
+    return power[:n], inverse[:n + 1]
 
 
 def grams(words: np.ndarray, n: int) -> np.ndarray:
