@@ -1,22 +1,11 @@
-"""Written intermediate tables and connected components, all in Spark."""
+"""Connected components in Spark; ``written`` tables cut the lineage between steps."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddy.session import scratch_path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
-
-    Cuts the lineage: a lost executor re-reads the table, and a table used
-    twice is computed once.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from eddy.session import materialize as written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
