@@ -123,7 +123,7 @@ def rules() -> dict[str, Column]:
         return _vote(n, F.lit(False), 100 * F.col(name) >= percent * n)
 
     chars = F.col("word_chars")
-    few = 100 * (F.col("n_symbols") + F.col("n_upper_words") + F.col("n_repeat_pairs") + F.col("n_dup_lines")) <= 5 * n
+    few = 100 * (F.col("n_symbols") + F.col("n_upper_words") + F.col("n_repeat_pairs") + F.col("n_dup_lines")) <= 10 * n
     return {
         "symbols": defect("n_symbols", 15),
         "upper_words": defect("n_upper_words", 30),
