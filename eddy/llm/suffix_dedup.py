@@ -47,7 +47,7 @@ from eddy.llm.textarrays import mix, utf8
 WINDOW, PIECE = 50, 16
 STEP_BYTES = 1 << 20          # of one text looked at together
 SEND_BYTES = 16 << 20         # of text in one sender
-KEY_BUCKET_BYTES, SORT_BUCKET_BYTES, PART_BYTES = 24 << 20, 6 << 20, 8 << 20
+KEY_BUCKET_BYTES, SORT_BUCKET_BYTES, PART_BYTES = 24 << 20, 3 << 20, 8 << 20
 LEAST_BUCKETS = 24
 
 _U = np.uint64

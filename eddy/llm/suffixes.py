@@ -18,7 +18,8 @@ import numpy as np
 def _next(mask: np.ndarray) -> np.ndarray:
     """For each place, the first place at or after it where mask holds (len if none)."""
     n = len(mask)
-    at = np.where(mask, np.arange(n, dtype=np.int64), n)
+    kind = np.int32 if n < 1 << 31 else np.int64
+    at = np.where(mask, np.arange(n, dtype=kind), kind(n))
     return np.minimum.accumulate(at[::-1])[::-1]
 
 
@@ -70,14 +71,14 @@ def sort_suffixes(text: np.ndarray, bounds: np.ndarray, wanted: np.ndarray, dept
     """
     k = len(bounds) - 1
     # one end mark, smaller than any byte, behind each string
-    shift = np.repeat(np.arange(k), np.diff(bounds))
-    t = np.full(len(text) + k, -1, np.int16)
-    t[np.arange(len(text)) + shift] = text
     first = bounds[:-1] + np.arange(k)
     ends = bounds[1:] + np.arange(k)
+    is_end = np.zeros(len(text) + k, bool)
+    is_end[ends] = True
+    t = np.full(len(text) + k, -1, np.int16)
+    t[~is_end] = text
     words = _words(np.maximum(t, 0), depth)
 
-    is_end = t < 0
     differs = np.append(t[:-1] != t[1:], True)
     at = _next(differs)
     small = np.zeros(len(t), bool)                      # type S
