@@ -45,7 +45,7 @@ MARK = "▁"
 THREADS = 2
 CACHE_UNITS = 300_000
 RUN_UNITS = 512
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Fixed values of the model format: kinds of models and of pieces.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
