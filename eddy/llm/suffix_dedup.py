@@ -24,6 +24,14 @@ Buckets and senders are sized from the total of text bytes, so a task
 holds as much at any size.  A passage found in a third of all documents
 reaches its bucket once from each sender, not once from each document.
 
+Passages at the edge of such a line carry the neighbouring text and differ
+in every document.  Senders of keys so count the bytes under each, and the
+passages of a key over ``HOT_KEY_BYTES`` go out string by string instead:
+the 128-bit hash of each 50-byte string goes to the hash's bucket, once
+from each sender, under its smallest document.  Equal strings meet there.
+Only the list of hot keys passes the driver (8 bytes for each
+``HOT_KEY_BYTES`` under one key).
+
 Defined cases: a null text is empty; texts under 50 bytes keep all; a row
 with a null doc_id has no smaller or larger document and keeps all; rows
 that share a doc_id don't repeat each other (neither is smaller), and each
@@ -41,6 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eddy.llm.graph import written
 from eddy.llm.suffixes import common_prefixes, sort_suffixes
 from eddy.llm.textarrays import mix, utf8
 
@@ -48,10 +57,13 @@ WINDOW, PIECE = 50, 16
 STEP_BYTES = 1 << 20          # of one text looked at together
 SEND_BYTES = 16 << 20         # of text in one sender
 KEY_BUCKET_BYTES, SORT_BUCKET_BYTES, PART_BYTES = 24 << 20, 3 << 20, 8 << 20
+HOT_KEY_BYTES = 12 << 20      # of passages under one key
+HOT_STRINGS = 1 << 20         # of hot keys, looked at together
 LEAST_BUCKETS = 24
 
 _U = np.uint64
 _LOW = _U(0xFFFFFFFF)
+_SIZE_UNIT = 64               # sizes under keys are sent in these, rounded up
 
 
 def window_keys(text: np.ndarray, buckets: int) -> np.ndarray:
@@ -102,46 +114,50 @@ def _groups(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # -- 1: keys in two or more documents ----------------------------------------
 
-_ASK = "bucket int, docs binary, keys binary, many binary"
+_ASK = "bucket int, docs binary, keys binary, many binary, sizes binary"
 
 
 def _ask(buckets: int):
-    def send(docs, keys):
-        docs, keys = np.repeat(docs, [len(k) for k in keys]), np.concatenate(keys)
+    def send(docs, keys, sizes):
+        docs, keys, sizes = np.repeat(docs, [len(k) for k in keys]), np.concatenate(keys), np.concatenate(sizes)
         order = np.lexsort((docs, keys))
         docs, keys = docs[order], keys[order]
         a, b = _groups(keys)
+        units = np.minimum(-(-np.add.reduceat(sizes[order], a) // _SIZE_UNIT), int(_LOW)).astype(np.uint32)
         many = docs[a] != docs[b - 1]
         rows = []
         one, flag, doc = keys[a], many, docs[a]
         for x, y in zip(*_groups(one >> _U(32))):       # each key once, to its bucket
             at = x + np.argsort(doc[x:y], kind="stable")
-            rows.append((int(one[x] >> _U(32)), _pack(doc[at]), _pack((one[at] & _LOW).astype(np.uint32)), _pack(flag[at].astype(np.uint8))))
+            rows.append((int(one[x] >> _U(32)), _pack(doc[at]), _pack((one[at] & _LOW).astype(np.uint32)), _pack(flag[at].astype(np.uint8)),
+                         _pack(units[at])))
         told = np.repeat(many, b - a)                   # known here to be shared
         if told.any():
             d, k = docs[told], keys[told]
             order = np.argsort(d, kind="stable")
-            rows.append((-1 - int(k[0] % _U(buckets)), _pack(d[order]), _pack(k[order]), _pack(b"")))
+            rows.append((-1 - int(k[0] % _U(buckets)), _pack(d[order]), _pack(k[order]), _pack(b""), _pack(b"")))
         bucket, *blobs = zip(*rows)
         return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)],
-                                          names=["bucket", "docs", "keys", "many"])
+                                          names=["bucket", "docs", "keys", "many", "sizes"])
 
     def run(batches):
-        docs, keys, size = [], [], 0
+        docs, keys, sizes, size = [], [], [], 0
         for batch in batches:
             data, off = utf8(batch.column("text"))
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 if doc is None:
                     continue
-                for k, _, _ in key_runs(data[off[i]:off[i + 1]], buckets):
+                for k, x, y in key_runs(data[off[i]:off[i + 1]], buckets):
+                    one, at = np.unique(k, return_inverse=True)
                     docs.append(doc)
-                    keys.append(np.unique(k))
+                    keys.append(one)
+                    sizes.append(np.bincount(at, y - x + (WINDOW - 1)).astype(np.int64))
                 size += int(off[i + 1] - off[i])
                 if size >= SEND_BYTES and docs:
-                    yield send(docs, keys)
-                    docs, keys, size = [], [], 0
+                    yield send(docs, keys, sizes)
+                    docs, keys, sizes, size = [], [], [], 0
         if docs:
-            yield send(docs, keys)
+            yield send(docs, keys, sizes)
     return run
 
 
@@ -151,8 +167,12 @@ def _column(table: pa.Table, name: str, kind) -> np.ndarray:
 
 
 def _shared(parts: int):
-    """Answers by part of the documents: which keys of which documents are shared."""
+    """Answers by part of the documents: which keys of which documents are shared.
+
+    Part -1 holds the hot keys, with their bytes in place of documents.
+    """
     def run(table: pa.Table) -> pa.Table:
+        hot = None
         docs, bucket = _column(table, "docs", np.int64), table.column("bucket")[0].as_py()
         if bucket < 0:
             keys = _column(table, "keys", np.uint64)
@@ -162,10 +182,15 @@ def _shared(parts: int):
             order = np.lexsort((docs, keys))
             docs, keys, many = docs[order], keys[order], many[order]
             a, b = _groups(keys)
+            size = np.add.reduceat(_column(table, "sizes", np.uint32)[order].astype(np.int64), a) * _SIZE_UNIT
             shared = (docs[a] != docs[b - 1]) | (np.maximum.reduceat(many, a) > 0)
+            hot = shared & (size > HOT_KEY_BYTES)
+            hot = pa.table({"part": pa.array([-1], pa.int64()), "docs": pa.array([_pack(size[hot])], pa.binary()),
+                            "keys": pa.array([_pack(keys[a[hot]])], pa.binary())}) if hot.any() else None
             keep = np.repeat(shared, b - a) & (many == 0)   # senders know theirs
             docs, keys = docs[keep], keys[keep]
-        return _by_part(parts, docs, keys=keys)
+        answers = _by_part(parts, docs, keys=keys)
+        return answers if hot is None else pa.concat_tables([answers, hot])
     return run
 
 
@@ -182,7 +207,7 @@ def _by_part(parts: int, docs: np.ndarray, **columns: np.ndarray) -> pa.Table:
 
 # -- 2: passages under shared keys -------------------------------------------
 
-_PASSAGES = "bucket int, docs binary, copies binary, places binary, lengths binary, text binary"
+_PASSAGES = "bucket int, docs binary, copies binary, places binary, lengths binary, back binary, text binary"
 
 
 def _in_order(ids: list, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
@@ -203,8 +228,9 @@ def _digest(text: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(text.tobytes())
 
 
-#: Kinds of a passage's numbers; a text is under 4 GB.
-_KINDS = {"docs": np.int64, "copies": np.uint32, "places": np.uint32, "lengths": np.uint32}
+#: Kinds of a passage's numbers; a text is under 4 GB.  With ``back``, a
+#: string goes only if the equal one so far back in its text goes.
+_KINDS = {"docs": np.int64, "copies": np.uint32, "places": np.uint32, "lengths": np.uint32, "back": np.uint32}
 
 
 def _numbers(*columns) -> list[bytes]:
@@ -215,7 +241,36 @@ def _read_numbers(table: pa.Table) -> list[np.ndarray]:
     return [_column(table, c, kind).astype(np.int64) for c, kind in _KINDS.items()]
 
 
-def _passages(buckets: int, sort_buckets: int):
+def _strings(found: list, sort_buckets: int, string_buckets: int):
+    """Rows that ask for the hot strings found, and the numbers of what is
+    told: strings of a smaller document here, and repeats in one text."""
+    hashes, docs, copies, places = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((places, copies, docs, hashes[:, 1], hashes[:, 0]))
+    hashes, docs, copies, places = hashes[order], docs[order], copies[order], places[order]
+    new = np.append(True, (hashes[1:] != hashes[:-1]).any(axis=1))
+    least = docs[np.flatnonzero(new)][np.cumsum(new) - 1]
+    later = docs > least
+    head = new | np.append(True, (docs[1:] != docs[:-1]) | (copies[1:] != copies[:-1]))
+    back = places - places[np.flatnonzero(head)][np.cumsum(head) - 1]
+    ask, again = head & ~later, ~head & ~later
+    told = [(docs[again], copies[again], places[again], np.full(again.sum(), WINDOW), back[again])]
+    at = np.flatnonzero(later)
+    at = at[np.lexsort((places[at], copies[at], docs[at]))]
+    if len(at):                                         # neighbours as one span
+        d, c, p = docs[at], copies[at], places[at]
+        a, b = _groups(np.cumsum(np.append(True, (d[1:] != d[:-1]) | (c[1:] != c[:-1]) | (p[1:] != p[:-1] + 1))))
+        told.append((d[a], c[a], p[a], b - a + (WINDOW - 1), np.zeros(len(a), np.int64)))
+    hashes, docs, copies, places = hashes[ask], docs[ask], copies[ask], places[ask]
+    to = sort_buckets + (hashes[:, 0] % _U(string_buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    to, rows = to[order], []
+    for a, b in zip(*_groups(to)):
+        x = order[a:b]
+        rows.append((int(to[a]), *_numbers(docs[x], copies[x], places[x], np.full(b - a, WINDOW), np.zeros(b - a)), _pack(hashes[x])))
+    return rows, told
+
+
+def _passages(buckets: int, sort_buckets: int, hot: np.ndarray, string_buckets: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         docs, keys = _column(right, "docs", np.int64), _column(right, "keys", np.uint64)
         order = np.lexsort((keys, docs))
@@ -223,7 +278,13 @@ def _passages(buckets: int, sort_buckets: int):
         ids = left.column("doc_id").to_pylist()
         data, off = utf8(left.column("text"))
         seen: dict[bytes, int] = {}
-        sent, told = [], []
+        sent, told, rows = [], [], []
+        found, n_found = [], 0
+
+        def strings():
+            asked, known = _strings(found, sort_buckets, string_buckets)
+            rows.extend(asked)
+            rows.extend((-1 - int(left.column("part")[0].as_py()), *_numbers(*x), _pack(b"")) for x in known if len(x[0]))
         # a passage's smallest document first
         for doc, copy, i in _in_order(ids, data, off):
             a, b = np.searchsorted(docs, [doc, doc + 1])
@@ -234,24 +295,41 @@ def _passages(buckets: int, sort_buckets: int):
             for k, x, y in key_runs(text, buckets):
                 at = np.minimum(np.searchsorted(mine, k), len(mine) - 1)
                 hit = np.flatnonzero(mine[at] == k)
+                if len(hot):
+                    over = np.isin(k[hit], hot)
+                    for p, q in zip(x[hit[over]].tolist(), (y[hit[over]] + (WINDOW - 1)).tolist()):
+                        if seen.setdefault(raw[p:q], doc) != doc:
+                            told.append((doc, copy, p, q - p, 0))
+                            continue
+                        for f in range(p, q - (WINDOW - 1), HOT_STRINGS):
+                            n = min(HOT_STRINGS, q - (WINDOW - 1) - f)
+                            hashes = b"".join(xxhash.xxh3_128_digest(raw[j:j + WINDOW]) for j in range(f, f + n))
+                            found.append((np.frombuffer(hashes, np.uint64).reshape(-1, 2), np.full(n, doc, np.int64),
+                                          np.full(n, copy, np.int64), np.arange(f, f + n)))
+                            n_found += n
+                            if n_found >= HOT_STRINGS:
+                                strings()
+                                found, n_found = [], 0
+                    hit = hit[~over]
                 to = ((k[hit] & _LOW) * _U(sort_buckets) >> _U(32)).tolist()
                 for t, p, q in zip(to, x[hit].tolist(), (y[hit] + (WINDOW - 1)).tolist()):
                     passage = raw[p:q]
                     if seen.setdefault(passage, doc) == doc:
                         sent.append((t, doc, copy, p, passage))
                     else:
-                        told.append((doc, copy, p, q - p))
+                        told.append((doc, copy, p, q - p, 0))
+        if found:
+            strings()
         sent.sort(key=lambda s: s[0])
-        rows = []
         to = np.array([s[0] for s in sent], np.int64)
         for a, b in zip(*_groups(to)):
             _, d, c, p, passages = zip(*sent[a:b])
-            rows.append((int(to[a]), *_numbers(d, c, p, [len(x) for x in passages]), _pack(b"".join(passages))))
+            rows.append((int(to[a]), *_numbers(d, c, p, [len(x) for x in passages], [0] * len(passages)), _pack(b"".join(passages))))
         if told:
             rows.append((-1 - int(left.column("part")[0].as_py()), *_numbers(*zip(*told)), _pack(b"")))
-        bucket, *blobs = zip(*rows) if rows else ([],) * 6
+        bucket, *blobs = zip(*rows) if rows else ([],) * 7
         return pa.table([pa.array(bucket, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)],
-                        names=["bucket", "docs", "copies", "places", "lengths", "text"])
+                        names=["bucket", *_KINDS, "text"])
     return run
 
 
@@ -273,11 +351,18 @@ def repeats(passages: list[bytes], least: np.ndarray) -> list[np.ndarray]:
     return [gone[a:a + n] for a, n in zip(bounds, wanted)]
 
 
-def _spans(parts: int):
+def _spans(parts: int, sort_buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        docs, copies, places, lengths = _read_numbers(table)
-        if table.column("bucket")[0].as_py() < 0:
-            return _spans_by_part(parts, docs, copies, places, lengths)
+        docs, copies, places, lengths, back = _read_numbers(table)
+        bucket = table.column("bucket")[0].as_py()
+        if bucket < 0:
+            return _spans_by_part(parts, docs, copies, places, lengths, back)
+        if bucket >= sort_buckets:                      # hashes of hot strings
+            hashes = _column(table, "text", np.uint64).reshape(-1, 2)
+            order = np.lexsort((docs, hashes[:, 1], hashes[:, 0]))
+            new = np.append(True, (hashes[order[1:]] != hashes[order[:-1]]).any(axis=1))
+            later = order[docs[order] > docs[order[np.flatnonzero(new)]][np.cumsum(new) - 1]]
+            return _spans_by_part(parts, *(x[later] for x in (docs, copies, places, lengths, back)))
         text = b"".join(map(_unpack, table.column("text").to_pylist()))
         ends = np.cumsum(lengths).tolist()
         number: dict[bytes, int] = {}
@@ -296,12 +381,13 @@ def _spans(parts: int):
             a, n = runs[w]
             if len(a):
                 out.append(np.stack([np.full(len(a), docs[i]), np.full(len(a), copies[i]), places[i] + a, n]))
-        return _spans_by_part(parts, *np.concatenate(out, axis=1))
+        out = np.concatenate(out, axis=1)
+        return _spans_by_part(parts, *out, np.zeros(out.shape[1], np.int64))
     return run
 
 
-def _spans_by_part(parts: int, docs, copies, places, lengths) -> pa.Table:
-    return _by_part(parts, docs, **{c: x.astype(_KINDS[c]) for c, x in zip(("copies", "places", "lengths"), (copies, places, lengths))})
+def _spans_by_part(parts: int, docs, *numbers) -> pa.Table:
+    return _by_part(parts, docs, **{c: x.astype(_KINDS[c]) for c, x in zip(list(_KINDS)[1:], numbers)})
 
 
 # -- 4: cutting ---------------------------------------------------------------
@@ -312,9 +398,9 @@ _CUT = {"n_bytes": (pa.int64(), "bigint"), "n_removed": (pa.int64(), "bigint"),
 
 def _cut(outputs: list[str]):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        docs, copies, places, lengths = _read_numbers(right)
+        docs, copies, places, lengths, back = _read_numbers(right)
         order = np.lexsort((places, docs))
-        docs, copies, places, lengths = (x[order] for x in (docs, copies, places, lengths))
+        docs, copies, places, lengths, back = (x[order] for x in (docs, copies, places, lengths, back))
         data, off = utf8(left.column("text"))
         ids = left.column("doc_id").to_pylist()
         copy_of = {i: copy for _, copy, i in _in_order(ids, data, off)}
@@ -325,6 +411,9 @@ def _cut(outputs: list[str]):
             if doc is not None:
                 a, b = np.searchsorted(docs, [doc, doc + 1])
                 own = a + np.flatnonzero(copies[a:b] == copy_of[i])
+                if back[own].any():
+                    first = own[(back[own] == 0) & (lengths[own] == WINDOW)]
+                    own = own[(back[own] == 0) | np.isin(places[own] - back[own], places[first])]
                 np.add.at(edges, places[own], 1)
                 np.add.at(edges, places[own] + lengths[own], -1)
             gone = np.cumsum(edges)[:-1] > 0
@@ -365,14 +454,20 @@ def remove_repeats(docs: DataFrame, keep: str | None = "kept", carry: tuple[str,
     parts = _prime(LEAST_BUCKETS + int(total) // PART_BYTES)
 
     asked = docs.select("doc_id", "text").mapInArrow(_ask(buckets), _ASK)
-    shared = asked.groupBy("bucket").applyInArrow(_shared(parts), "part bigint, docs binary, keys binary")
+    shared = written(asked.groupBy("bucket").applyInArrow(_shared(parts), "part bigint, docs binary, keys binary"), "shared")
+    over = [(_unpack(r["docs"]), _unpack(r["keys"])) for r in shared.where("part = -1").select("docs", "keys").collect()]
+    hot = np.sort(np.frombuffer(b"".join(k for _, k in over), np.uint64))
+    hot_bytes = int(np.frombuffer(b"".join(n for n, _ in over), np.int64).sum())
+    # about eight bytes of hashes and numbers for one of a passage
+    string_buckets = min(sort_buckets, LEAST_BUCKETS + 8 * hot_bytes // KEY_BUCKET_BYTES)
     # rows without a doc_id repeat nothing: dealt out by their text
     part = F.coalesce(F.pmod("doc_id", F.lit(parts)), F.pmod(F.xxhash64("text"), F.lit(parts)))
     # one exchange of the texts serves both uses
     dealt = docs.withColumn("part", part.cast("bigint"))
-    passages = dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_passages(buckets, sort_buckets), _PASSAGES)
+    passages = dealt.groupBy("part").cogroup(shared.where("part >= 0").groupBy("part")).applyInArrow(
+        _passages(buckets, sort_buckets, hot, string_buckets), _PASSAGES)
     spans = passages.groupBy("bucket").applyInArrow(
-        _spans(parts), "part bigint, docs binary, copies binary, places binary, lengths binary")
+        _spans(parts, sort_buckets), "part bigint, docs binary, copies binary, places binary, lengths binary, back binary")
     outputs = [c for c in _CUT if c not in ("kept", "kept_text") or c == keep]
     kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in dealt.schema if f.name.startswith("carried_"))
     schema = "doc_id bigint" + "".join(f", {c} {_CUT[c][1]}" for c in outputs) + kinds

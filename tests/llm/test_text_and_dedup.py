@@ -202,6 +202,35 @@ def test_repeats_in_many_small_senders(spark, corpus, monkeypatch):
     check_repeats(spark, corpus, spark.createDataFrame(rows(corpus), SCHEMA).repartition(3))
 
 
+def test_repeats_of_a_line_in_every_document(spark, monkeypatch):
+    rng = random.Random(6)
+    line, other = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (90, 600))
+    docs = [(rng.randrange(10 ** 6), "".join(rng.choice("klmnopqr ") for _ in range(rng.randint(50, 90))) + line
+             + "".join(rng.choice("klmnopqr ") for _ in range(60)) + "-" * (i % 200)) for i in range(300)]
+    docs += [(docs[0][0], line + line + "x"), (docs[1][0], "ab" * 150 + line), (docs[2][0], "ab" * 100), (2 * 10 ** 6, other)]
+    for name, value in (("HOT_KEY_BYTES", 1500), ("SORT_BUCKET_BYTES", 500), ("KEY_BUCKET_BYTES", 500), ("PART_BYTES", 9000), ("SEND_BYTES", 9000)):
+        monkeypatch.setattr(suffix_dedup, name, value, raising=False)
+    spans = suffix_dedup._spans
+
+    def bounded(*sizes):
+        run = spans(*sizes)
+
+        def checked(table):
+            held = sum(int.from_bytes(x[:8], "little") for x in table.column("text").to_pylist())
+            assert table.column("bucket")[0].as_py() < 0 or held < 10_000, held
+            return run(table)
+        return checked
+    monkeypatch.setattr(suffix_dedup, "_spans", bounded)
+    check_repeats(spark, docs, spark.createDataFrame(rows(docs), SCHEMA).repartition(4))
+
+
+def test_repeats_with_every_key_hot(spark, corpus, monkeypatch):
+    for name, value in (("HOT_KEY_BYTES", 0), ("HOT_STRINGS", 200), ("PART_BYTES", 3000)):
+        monkeypatch.setattr(suffix_dedup, name, value, raising=False)
+    odd = [(1, "abc " * 300), (1, "abc " * 300 + "x"), (2, "abc " * 300), (7, "b" * 99 + "ü" * 60), (8, "ü" * 80), (8, "ü" * 80)]
+    check_repeats(spark, corpus + odd, spark.createDataFrame(rows(corpus + odd), SCHEMA).repartition(5))
+
+
 def test_repeats_of_documents(spark):
     docs = spark.read.parquet(f"{SF_SMOKE}/documents.parquet")
     check_repeats(spark, [(r.doc_id, r.text) for r in docs.collect()], docs)
