@@ -21,8 +21,9 @@ more; a class is what links reach.
    ``BLOCK_SHINGLES`` or ``BLOCK_DOCS`` is cut into blocks, and each pair
    of blocks is one task, so no task grows with a hot group.
 4. *Estimate, then verify.*  Inside a task, pairs whose collision-corrected
-   estimate is below the threshold less ``MARGIN`` (over four standard
-   deviations) are passed over, and so are pairs already in one class; the
+   estimate is below the threshold less ``MARGIN`` are passed over (a pair
+   at the threshold with probability 3.1e-8; with the bands' loss that is
+   2.8e-7 at most), and so are pairs already in one class; the
    rest are confirmed on the full sets.  Only links that join two classes
    leave the task, fewer than its documents.
 5. The classes are the components of the confirmed links.
@@ -50,7 +51,7 @@ BUCKETS = BANDS * ROWS
 MANTISSA = 10
 SHINGLE_WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100      # linked: DENOMINATOR * common >= NUMERATOR * union
-MARGIN = 0.15
+MARGIN = 0.20
 BLOCK_SHINGLES, BLOCK_DOCS = 1 << 21, 2048
 
 _U = np.uint64

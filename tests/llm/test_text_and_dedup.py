@@ -1,5 +1,6 @@
 """Words, near-duplicates, repeated passages and leaks against brute force."""
 import hashlib
+import math
 import random
 import re
 from collections import defaultdict
@@ -134,6 +135,21 @@ def test_estimates_are_close_and_collision_corrected():
         assert abs(got - shared / (2000 - shared)) < 0.15
 
 
+def test_estimates_lose_fewer_pairs_than_bands():
+    n, t = minhash_dedup.BUCKETS, 0.75
+    one = np.arange(n, dtype=np.uint16)
+    passed = []
+    for k in range(n + 1):
+        other = np.where(np.arange(n) < k, one, one + 1000).astype(np.uint16)
+        passed.append(minhash_dedup.estimates(other[None], one, np.array([700]), 700)[0] < t - minhash_dedup.MARGIN)
+    lost = sum(math.comb(n, k) * t ** k * (1 - t) ** (n - k) for k in range(n + 1) if passed[k])
+    assert lost < (1 - t ** minhash_dedup.ROWS) ** minhash_dedup.BANDS
+    # a pair at 600 / 800 with few equal registers is still judged on the sets
+    other = np.where(np.arange(n) < 92, one, one + 1000).astype(np.uint16)
+    sets = [np.arange(a, a + 700, dtype=np.uint64) for a in (0, 100)]
+    assert len(minhash_dedup.confirmed_links(np.array([1, 2]), np.stack([one, other]), sets)) == 1
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(1, 60)] + [(1000, x) for x in range(1001, 1100)] + [(5000, 5000)]
