@@ -26,13 +26,14 @@ more; a class is what links reach.
    2.8e-7 at most), and so are pairs already in one class; the
    rest are confirmed on the full sets.  Only links that join two classes
    leave the task, fewer than its documents.
-5. The classes are the components of the confirmed links.
+5. The classes are the components of the confirmed links, and of links
+   between the sets that rows of one doc_id have.
 
 Defined cases: a null, empty or blank text has an empty set and is linked
 with nothing; a text of 1 to 4 words is its whole sequence as one shingle;
 a null doc_id is its own class (component_id null, kept true); rows that
-repeat a doc_id are one document for linking, and each gives a row; extra
-columns are ignored.
+repeat a doc_id are in one class, whatever their texts (each text is compared
+as a set of its own), and each gives a row; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -195,12 +196,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "doc_id", "block", "regs", "shingles")
     links = tasks.groupBy("root", "i", "j").applyInArrow(_verify, "a bigint, b bigint")
-    classes = components(links)
+    # ids with different texts: their sets are linked through the id
+    several = named.groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y"))
+    empty = signed.where("set_key is null and doc_id is not null").select("doc_id").distinct()
+    several = written(several.where("x <> y").select("doc_id").unionByName(empty.join(named, "doc_id", "left_semi")).distinct(), "several")
+    own = named.join(several, "doc_id").join(reps.select("set_key", "rep"), "set_key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    classes = components(links.unionByName(own))
+    by_id = several.join(classes, F.col("doc_id") == F.col("node")).select("doc_id", F.col("root").alias("id_class"))
 
     to_class = named.groupBy("set_key").agg(F.min("doc_id").alias("rep")) \
         .join(classes, F.col("rep") == F.col("node"), "left") \
         .select("set_key", F.coalesce("root", "rep").alias("component"))
-    out = signed.select("doc_id", "n_shingles", "set_key").join(to_class, "set_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    out = signed.select("doc_id", "n_shingles", "set_key").join(to_class, "set_key", "left").join(by_id, "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("id_class", "component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -102,6 +102,15 @@ def test_near_duplicates_of_a_cluster_cut_into_blocks(spark, corpus, monkeypatch
     assert sorted(map(tuple, got.collect()), key=str) == brute_classes(corpus)
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    rng = random.Random(3)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(80)) for _ in range(4))
+    docs = [(5, a), (9, a), (9, b), (9, c), (3, c + " z"), (12, b + " y"), (20, ""), (20, a + " v"), (20, None),
+            (30, d), (30, d + " x"), (31, d), (40, "one two"), (40, ""), (41, "three"), (41, "four"), (None, a), (None, d)]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows(docs), SCHEMA).repartition(3))
+    assert sorted(map(tuple, got.collect()), key=str) == brute_classes(docs)
+
+
 def test_near_duplicates_of_documents(spark):
     docs = spark.read.parquet(f"{SF_SMOKE}/documents.parquet")
     got = minhash_dedup.near_duplicates(docs)
