@@ -17,17 +17,25 @@ def _shingles(n: str) -> str:
     return f"list_transform(range(1, len(ws) - {n} + 2), lambda i: array_to_string(ws[i:i + {n} - 1], ' '))"
 
 
-NEAR_DUPLICATES = f"""with recursive w as ({_words('documents', 'doc_id')}),
-  s as (select distinct doc_id, unnest({_shingles('least(5, len(ws))')}) as sh from w where len(ws) > 0),
+def _classes(words: int, percent: int, more: str) -> str:
+    """Classes of documents linked by the Jaccard similarity of their word shingles."""
+    return f"""with recursive w as ({_words('documents', 'doc_id')}),
+  s as (select distinct doc_id, unnest({_shingles(f'least({words}, len(ws))')}) as sh from w where len(ws) > 0),
   n as (select doc_id, count(*) as n from s group by 1),
   p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by 1, 2),
-  l as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 75 * (nx.n + ny.n - c)),
+  l as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= {percent} * (nx.n + ny.n - c)),
   e as (select x as a, y as b from l union all select y, x from l),
   r(a, b) as (select a, b from e union select r.a, e.b from r join e on r.b = e.a),
   classes as (select a, min(b) as c from r group by a)
-  select w.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(c, w.doc_id) as component_id, w.doc_id = coalesce(c, w.doc_id) as kept
+  select w.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(c, w.doc_id) as component_id{more}
   from w left join n on n.doc_id = w.doc_id left join classes on a = w.doc_id"""
 
+
+NEAR_DUPLICATES = _classes(5, 75, ", w.doc_id = coalesce(c, w.doc_id) as kept")
+
+#: For tables whose doc_ids are unique and not null.
+NEARLY_EQUAL = _classes(3, 90, "")
+
 CONTAMINATED = f"""with iw as (select distinct * from ({_words('benchmark', 'item_id')}) where len(ws) > 0),
   i as (select distinct item_id, least(5, len(ws)) as k, unnest({_shingles('least(5, len(ws))')}) as sh from iw),
   size as (select item_id, count(*) as n from i group by 1),

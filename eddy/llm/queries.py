@@ -10,6 +10,7 @@ from eddy.llm import oracle_sql
 from eddy.llm.chat_format import read_back_sql
 from eddy.llm.host_trust import judge_urls_sql
 from eddy.llm.merkle_manifest import verify_sql
+from eddy.llm.source_divergence import AUDIT_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +89,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under links between nearly equal sets of word trigrams."""
+    from eddy.llm.partition_join import join_classes
+    return join_classes(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the words that tell them apart."""
+    from eddy.llm.source_divergence import audit
+    return audit(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proof of every document under the table's root, some folded from a tampered row."""
     from eddy.llm.merkle_manifest import verify
@@ -100,12 +113,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_minhash_dedup, op3_chat_format, op4_quality_rules, op5_suffix_dedup, op6_url_filters, op7_quality_classifier, op8_decontamination, op9_sharding, op10_token_counts, op13_merkle_manifest, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_minhash_dedup, op3_chat_format, op4_quality_rules, op5_suffix_dedup, op6_url_filters, op7_quality_classifier, op8_decontamination, op9_sharding, op10_token_counts, op11_ngram_join, op12_source_divergence, op13_merkle_manifest, pipeline)}
 ORACLE = {
     "op2_minhash_dedup": oracle_sql.NEAR_DUPLICATES,
     "op5_suffix_dedup": oracle_sql.REMOVED_REPEATS,
     "op8_decontamination": oracle_sql.CONTAMINATED,
     "op3_chat_format": read_back_sql(f"values (-1, 0, 'user', '{HOSTILE}'), (-1, 1, 'assistant', '{HOSTILE}')"),
     "op6_url_filters": judge_urls_sql(),
+    "op11_ngram_join": oracle_sql.NEARLY_EQUAL,
+    "op12_source_divergence": AUDIT_SQL,
     "op13_merkle_manifest": verify_sql(),
 }

@@ -1,0 +1,80 @@
+"""The source divergence audit against plain Python and its SQL."""
+import random
+import re
+import tempfile
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+
+from eddy.llm import source_divergence
+from eddy.llm.source_divergence import MIN_DF, SCALE, TOP
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+SCHEMA = "doc_id long, text string, lang string, source string, term string, n string, g int"     # clashing names
+
+
+def terms(text):
+    return TERM.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(rows):
+    docs, counts = defaultdict(Counter), defaultdict(lambda: defaultdict(Counter))
+    for _, text, lang, source, *_ in rows:
+        lang, source, found = lang or "", source or "", terms(text)
+        docs[lang].update(set(found))
+        counts[lang][source].update(found)
+    for lang, groups in counts.items():
+        vocab = sorted(t for t, n in docs[lang].items() if n >= MIN_DF)
+
+        def shares(c, v=vocab):
+            total = sum(c[t] for t in v)
+            return {t: 1 + SCALE * (c[t] + 2) // (total + 2 * len(v)) for t in v}
+        whole = shares(sum(groups.values(), Counter()))
+        of = {s: shares(c) for s, c in groups.items()}
+
+        def far(p, q):
+            return (p - q) ** 2 // (p + q)
+        for s, c in groups.items():
+            pairs = [(sum(far(of[s][t], of[o][t]) for t in vocab), o) for o in groups if o != s]
+            top = [(far(of[s][t], whole[t]), t) for t in vocab if c[t] and of[s][t] > whole[t]]
+            for part, found, last in (("pair", pairs, None), ("term", top, TOP)):
+                for k, (value, item) in enumerate(sorted(found, key=lambda x: (-x[0], x[1].encode()))[:last], 1):
+                    yield lang, s, part, item, value, k
+
+
+def corpus():
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in "abcdefgÀé" for b in ("x", "Ünd", "o", "ß", "日本")]
+    rows = [(i, " ".join(rng.choice(words) + rng.choice([" ", "1", "-", "\n"]) for _ in range(rng.randrange(40))),
+             rng.choice(["en", "en", "de", None, ""]), rng.choice(["hot"] * 5 + ["s1", "s2", "s3", None, ""])) for i in range(500)]
+    rows += [(1, "again Again AGAIN again", "en", "s1")] * 12 + [(None, None, "en", "void"), (2, "", "xx", "a"), (3, "rare", "xx", "b"), (4, None, None, None)]
+    rows += [(5, "Long words " * 200_000, "en", "s2"), (6, " ".join(f"w{i}" for i in range(3)), "yy", "only")]
+    return [(*r, "clash", "x", 1) for r in rows]
+
+
+@pytest.mark.parametrize("limits", [{}, {"BUFFER_TERMS": 50, "CHUNK_ENTRIES": 16, "BLOCK_GROUPS": 2}])
+def test_equals_plain_python(spark, monkeypatch, limits):
+    for k, v in limits.items():
+        monkeypatch.setattr(source_divergence, k, v)
+    df = spark.createDataFrame(corpus(), SCHEMA)
+    assert sorted(map(tuple, source_divergence.audit(df).collect())) == sorted(brute(corpus()))
+
+
+def test_sql_equals_plain_python(spark):
+    path = tempfile.mkdtemp(prefix="eddy-test-", dir="/tmp")
+    spark.createDataFrame(corpus(), SCHEMA).write.parquet(f"{path}/documents")
+    db = duckdb.connect()
+    db.sql(f"create view documents as select * from read_parquet('{path}/documents/*.parquet')")
+    assert sorted(db.sql(source_divergence.AUDIT_SQL).fetchall()) == sorted(brute(corpus()))
+
+
+def test_empty_and_vectors(spark, monkeypatch):
+    df = spark.createDataFrame(corpus(), SCHEMA)
+    assert source_divergence.audit(df.limit(0)).count() == 0
+    for r in source_divergence.vectorize(df.where("doc_id < 50")).collect():
+        assert sum(r.counts) >= len(r.terms)
+        assert all(TERM.fullmatch(t) for t in r.terms)
+    monkeypatch.setattr(source_divergence, "VOCAB_SIZE", 3)
+    with pytest.raises(ValueError, match="3 at most"):
+        source_divergence.audit(df)
