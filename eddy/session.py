@@ -30,7 +30,7 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # remove materialized checkpoints once their DataFrame is unreachable
+    # remove RDD checkpoints once unreachable (tables of ``materialize``: see ``discard``)
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # keyed state for transformWithState lives in RocksDB, checkpointed as
     # a changelog (incremental), like the reference's incremental backend
@@ -111,4 +111,18 @@ def materialize(df: DataFrame, name: str = "table", partition_by: Sequence[str]
     """
     path = scratch_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete copies that ``materialize`` wrote, once nothing reads them any more.
+
+    Only for tables whose every reader has run: what was written from them
+    stands on its own files, but a plan that still reads them would fail.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

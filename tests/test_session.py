@@ -50,3 +50,16 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
 def test_workers_can_import_the_package(spark):
     assert os.path.dirname(os.path.dirname(session.__file__)) in spark.sparkContext.environment["PYTHONPATH"]
+
+
+def test_discard_deletes_a_written_table(spark, scratch):
+    import os
+
+    from eddy.session import discard, materialize
+    kept, gone = materialize(spark.range(5).toDF("x"), "kept"), materialize(spark.range(5).selectExpr("id as x", "id % 2 as y"), "gone", ["y"])
+    copy = materialize(gone.where("x > 1"), "copy")
+    paths = [t.written_at.removeprefix("file:") for t in (kept, gone, copy)]
+    assert all(map(os.path.exists, paths))
+    discard(gone)
+    assert [os.path.exists(p) for p in paths] == [True, False, True]
+    assert copy.count() == 3 and kept.count() == 5
