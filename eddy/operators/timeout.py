@@ -19,10 +19,10 @@ exceeds ``ttl``; an odd-length chain leaves its last arrival unmatched.
 with the same key lies within ``ttl`` of it, before or after.
 
 All three are prefix scans per key (``scan.py``) plus grouped aggregates;
-no pairs are formed.  The narrow rows are written once, in blocks that are
-quantile ranges of ``(time, id)``, and every scan reads that copy; a key's
-burst, or rows of one time, spread over blocks like any other rows.
-``blocks`` sets their number.
+no pairs are formed.  Blocks are cut at sampled ``(time, id)``, as an
+expression of the plan; a key's burst, or rows of one time, spread over
+blocks like any other rows.  ``blocks`` sets their number (by default it
+follows from the number of rows).
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddy.operators.scan import Prefix, by_range, prefix_scan
+from eddy.operators.scan import Prefix, block_count, by_splitters, order_sample, prefix_scan, splitters
 
 MODES = ("toggle", "clean", "sided")
 
@@ -39,7 +39,10 @@ def timeout_toggle(tx: DataFrame, ttl: int, key: str = "trans_id", time_col: str
                    id_col: str = "event_id", payload: tuple[str, ...] = ("amount",),
                    blocks: int | None = None) -> DataFrame:
     """J4 as coded (see module doc).  One output row per firing timer."""
-    base = by_range(tx.select(key, time_col, id_col, *payload), [key], [time_col, id_col], blocks)
+    tx = tx.select(key, time_col, id_col, *payload)
+    n, sample = order_sample(tx, [time_col, id_col])
+    n_blocks = blocks or block_count(n)
+    base = by_splitters(tx, [key], [time_col, id_col], bounds=splitters(sample, n_blocks))
     numbered = prefix_scan(base, [time_col, id_col], [Prefix("_n", F.lit(1).cast("bigint"))])
     # an arrival carries its record; an opening also gives a probe at its deadline
     rec = F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("i"),
@@ -51,7 +54,10 @@ def timeout_toggle(tx: DataFrame, ttl: int, key: str = "trans_id", time_col: str
     events = numbered.select(key, F.col(id_col).alias("_id"), F.explode(both).alias("e")) \
         .select(key, "_id", F.col("e.at").alias("_at"), F.col("e.kind").alias("_kind"), F.col("e.rec").alias("_rec"))
     order = ["_at", "_kind", "_id"]
-    scanned = prefix_scan(by_range(events, [key], order, blocks), order, [Prefix("_m", F.col("_rec"), op="max")])
+    # arrivals and deadlines: the sample has both, as the rows do
+    both_kinds = [(t, 0, i) for t, i in sample] + [(t if t is None else t + int(ttl), 1, i) for t, i in sample]
+    scanned = prefix_scan(by_splitters(events, [key], order, bounds=splitters(both_kinds, n_blocks)), order,
+                          [Prefix("_m", F.col("_rec"), op="max")])
     fired = scanned.where((F.col("_kind") == 1) & (F.col("_m.n") % 2 == 1))
     return fired.select(key, F.col("_m.t").alias(time_col), F.col("_m.i").alias(id_col),
                         *[F.col(f"_m.{p}").alias(p) for p in payload])
@@ -62,7 +68,7 @@ def timeout_clean(tx: DataFrame, ttl: int, key: str = "trans_id", time_col: str
                   blocks: int | None = None) -> DataFrame:
     """J4 as intended: the last arrival of every odd-length chain."""
     order = [time_col, id_col]
-    base = by_range(tx.select(key, time_col, id_col, *payload), [key], order, blocks)
+    base = by_splitters(tx.select(key, time_col, id_col, *payload), [key], order, blocks)
     prev = prefix_scan(base, order, [Prefix("_prev", F.col(time_col), op="max", inclusive=False)])
     gap = (F.col(time_col) - F.col("_prev") > F.lit(int(ttl))).cast("bigint")
     flagged = prev.withColumn("_g", F.coalesce(gap, F.lit(0).cast("bigint")))
@@ -83,7 +89,7 @@ def timeout_sided(tx: DataFrame, ttl: int, side_col: str = "side", key: str = "t
     """J4 by side: arrivals with no other-side partner within +-ttl."""
     a, b = sides
     order = [time_col, id_col]
-    base = by_range(tx.select(key, time_col, id_col, side_col, *payload), [key], order, blocks)
+    base = by_splitters(tx.select(key, time_col, id_col, side_col, *payload), [key], order, blocks)
     t = F.col(time_col)
     is_a, is_b = F.col(side_col) == a, F.col(side_col) == b
     fwd = prefix_scan(base, order, [Prefix("_pa", F.when(is_a, t), op="max"),

@@ -11,9 +11,9 @@ def test_small_blocks_of_holdings(spark):
     got = {(r["nav_id"], r["user_id"], r["seq"]): r["holding"]
            for r in holdings.running_holdings(o, block_rows=16).collect()}
     assert got == sim.running_holdings(own)
-    assert sorted(tuple(r) for r in holdings.portfolio_valuation(o, n, block_rows=16, salts=3).collect()) == \
+    assert sorted(tuple(r) for r in holdings.portfolio_valuation(o, n, block_rows=16, price_chunk=3).collect()) == \
         sim.portfolio(own, nav)
-    assert sorted(tuple(r) for r in holdings.lot_valuation(o, n, block_rows=16, chunk=5).collect()) == \
+    assert sorted(tuple(r) for r in holdings.lot_valuation(o, n, block_rows=16, chunk=5, price_chunk=4).collect()) == \
         sim.lots(own, nav)
 
 

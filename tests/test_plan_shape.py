@@ -15,10 +15,10 @@ SHAPES = {
     "window_assign": (0, 1),
     "running_holdings": (3, 1),
     "current_holdings": (1, 1),
-    "portfolio_valuation": (6, 3),
-    "lot_valuation": (2, 2),
+    "portfolio_valuation": (13, 6),
+    "lot_valuation": (4, 3),
     "union_transactions": (0, 2),
-    "timeout_toggle": (3, 1),
+    "timeout_toggle": (6, 1),
     "timeout_clean": (6, 1),
     "timeout_sided": (5, 1),
     "route_even": (0, 1),

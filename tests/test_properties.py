@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from eddy.operators import timeout
-from eddy.operators.scan import Prefix, by_width, prefix_scan
+from eddy.operators.scan import Prefix, by_splitters, prefix_scan
 import sim
 
 SETTINGS = settings(max_examples=6, deadline=None,
@@ -22,7 +22,7 @@ def test_prefix_scan_property(spark, rows, width):
     data = [(k, i, v) for i, (k, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "k long, seq long, v long")
     got = {r["seq"]: (r["s"], r["m"]) for r in prefix_scan(
-        by_width(df, ["k"], "seq", width), ["seq"],
+        by_splitters(df, ["k"], ["seq"], block_rows=width), ["seq"],
         [Prefix("s", F.col("v")), Prefix("m", F.col("v"), op="min")]).collect()}
     acc, mn, exp = {}, {}, {}
     for k, i, v in data:
