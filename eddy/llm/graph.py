@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eddy.session import discard
 from eddy.session import materialize as written
 
 
@@ -16,7 +17,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     neighbour.  The number of rounds grows with the logarithm of the
     longest path.  Each step is a grouped minimum (combined before the
     shuffle) and a join that adaptive execution can split at a hot node.
-    Only the edges' count and checksum reach the driver.
+    Only the edges' count and checksum reach the driver.  Each round's tables
+    are deleted when the next one's are written; the result reads the last.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = written(e, "edges")
@@ -33,6 +35,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                                                F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s"))
-        e = written(small.select("s.u", "s.v").where("u <> v").distinct(), "edges")
+        last, e = e, written(small.select("s.u", "s.v").where("u <> v").distinct(), "edges")
+        discard(last, large)
     roots = e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddy.llm.graph import components, written
+from eddy.llm.graph import components, discard, written
 from eddy.llm.textarrays import mix, shingles, texts
 
 SHINGLE_WORDS = 3
@@ -255,45 +255,54 @@ def candidates(reps: DataFrame) -> DataFrame:
     """(bucket, rep, n): sets that share a signature that at least one of them asks for.
 
     ``reps``: (rep, n, asks) of distinct sets.  All linked pairs share a bucket.
+    Of all signatures only 64 bits, the set and the place in its array are shuffled.
     """
     asks = reps.select("rep", "n", F.posexplode("asks").alias("lower", "ask")).select(
-        "rep", "n", (F.col("lower") == 1).alias("lower"), "ask.*", F.size("ask.near").alias("all_near"))
-    rows = asks.select("rep", "n", "band", "spare", "lower", "all_near", F.posexplode("whole").alias("i", "sig"))
+        "rep", "n", "lower", "ask.*", F.size("ask.near").alias("all_near"))
+    rows = asks.select("rep", "lower", F.posexplode("whole").alias("i", "sig")) \
+        .select("sig", "rep", (2 * F.col("i") + F.col("lower")).alias("at"))
     busy = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    met = written(rows.join(busy, "sig"), "met")
+    met = rows.join(busy, "sig").select("rep", F.expr("at div 2").cast("int").alias("i"), (F.col("at") % 2).alias("lower"), "sig", "k")
+    met = written(met.join(asks.select("rep", "lower", "n", "band", "spare", "all_near"), ["rep", "lower"]), "met")
     # allocation: the dearest signatures of each set and band first
-    mine = Window.partitionBy("rep", "n", "lower", "band")
+    whose = ["rep", "n", "lower", "band"]
+    mine = Window.partitionBy(*whose)
     near = (F.col("i") % NEAR_EVERY == 0).cast("int")
     dear = met.where(F.col("k") > COSTLY).select(
         "*", F.row_number().over(mine.orderBy(F.desc("k"), "i")).alias("place"), F.count(F.lit(1)).over(mine).alias("dear"),
         F.sum(near).over(mine).alias("dear_near"))
-    wide = dear.where("dear > spare").groupBy("rep", "n", "lower", "band").agg(F.collect_set(F.when(near == 1, F.col("i"))).alias("not_near"))
+    wide = dear.where("dear > spare").groupBy(*whose).agg(F.collect_set(F.when(near == 1, F.col("i"))).alias("not_near"))
     wide = written(wide, "wide")                        # sets that look up neighbourhoods
     skipped = dear.where(F.col("place") <= F.col("spare") + F.when(F.col("dear") > F.col("spare"), F.col("all_near") - F.col("dear_near")).otherwise(0))
-    keys = ["rep", "n", "lower", "band", "i"]
-    flagged = met.select(*keys, "sig").join(skipped.select(*keys, F.lit(True).alias("skip")), keys, "left") \
-        .select("rep", "n", F.xxhash64(F.lit(0), "sig").alias("bucket"), F.col("skip").isNull().alias("asks"), (~F.col("lower")).alias("held"))
-    # neighbourhoods
+
+    def rows_of(df: DataFrame, space: int, column: str) -> DataFrame:
+        return df.select("rep", "n", F.xxhash64(F.lit(space), column).alias("bucket"))
+    # neighbourhoods: asked for first, then what is held of them
     parts = F.posexplode("near").alias("j", "hashes")
-    wide_asks = asks.join(wide, ["rep", "n", "lower", "band"]).select("rep", "n", "band", "whole", "not_near", parts) \
+    wide_asks = asks.join(wide, whose).select("rep", "n", "band", "whole", "not_near", parts) \
         .where(~F.array_contains("not_near", F.col("j") * NEAR_EVERY)).select(
         "rep", "n", "band", "j", F.get("whole", F.col("j") * NEAR_EVERY).alias("sig"), "hashes")
     wide_asks = written(wide_asks, "wide-asks")
-    wanted = wide_asks.select("band", "j").distinct()
-    indexed = asks.where("not lower").select("rep", "n", "band", "whole", parts).join(wanted, ["band", "j"]).select(
-        "rep", "n", F.get("whole", F.col("j") * NEAR_EVERY).alias("sig"), "hashes")
-
-    def rows_of(df, space, asks_, column):
-        return df.select("rep", "n", F.xxhash64(F.lit(space), column).alias("bucket"), F.lit(asks_).alias("asks"), F.lit(not asks_).alias("held"))
-    found = flagged.where("asks or held") \
-        .unionByName(rows_of(indexed, 0, False, "sig")) \
-        .unionByName(rows_of(wide_asks.select("rep", "n", F.explode("hashes").alias("hash")), 0, True, "hash")) \
-        .unionByName(rows_of(indexed.select("rep", "n", F.explode("hashes").alias("hash")), 1, False, "hash")) \
-        .unionByName(rows_of(wide_asks, 1, True, "sig"))
-    found = written(found, "found")
+    asked = rows_of(wide_asks.select("rep", "n", F.explode("hashes").alias("hash")), 0, "hash") \
+        .unionByName(rows_of(wide_asks, 1, "sig")).distinct()
+    asked = written(asked, "asked")
+    indexed = asks.where("lower = 0").select("rep", "n", "band", "whole", parts).join(wide_asks.select("band", "j").distinct(), ["band", "j"]) \
+        .select("rep", "n", F.get("whole", F.col("j") * NEAR_EVERY).alias("sig"), "hashes")
+    indexed = rows_of(indexed, 0, "sig").unionByName(rows_of(indexed.select("rep", "n", F.explode("hashes").alias("hash")), 1, "hash"))
+    held = indexed.join(asked.select("bucket").distinct(), "bucket", "left_semi")
+    # all signatures that two sets share and one asks for
+    keys = [*whose, "i"]
+    flagged = met.select(*keys, "sig").join(skipped.select(*keys, F.lit(True).alias("skip")), keys, "left") \
+        .select("rep", "n", F.xxhash64(F.lit(0), "sig").alias("bucket"), F.col("skip").isNull().alias("asks"), (F.col("lower") == 0).alias("held"))
+
+    def role(df: DataFrame, asks_: bool) -> DataFrame:
+        return df.select("rep", "n", "bucket", F.lit(asks_).alias("asks"), F.lit(not asks_).alias("held"))
+    found = written(flagged.where("asks or held").unionByName(role(asked, True)).unionByName(role(held, False)), "found")
     live = found.groupBy("bucket").agg(F.max("asks").alias("a"), F.max("held").alias("h"), F.min("rep").alias("x"), F.max("rep").alias("y")) \
         .where("a and h and x <> y").select("bucket")
-    return found.join(live, "bucket").select("bucket", "rep", "n").distinct()
+    out = written(found.join(live, "bucket").select("bucket", "rep", "n").distinct(), "buckets")
+    discard(met, wide, wide_asks, asked, found)
+    return out
 
 
 def _tasks(members: DataFrame, key: str, limit_docs: int, limit_shingles: int) -> DataFrame:
@@ -304,8 +313,7 @@ def _tasks(members: DataFrame, key: str, limit_docs: int, limit_shingles: int) -
 
 
 def links(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b): links that connect all linked sets that share a bucket of ``found``."""
-    found = written(found, "buckets")
+    """(a, b): links that connect all linked sets that share a bucket of ``found``, a written table."""
     involved = found.select(F.col("rep").alias("doc_id")).distinct()
     sets = written(docs.join(involved, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "doc_id bigint, n bigint, shingles binary")
                    .where("n > 0"), "sets")
@@ -325,9 +333,9 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     # the rest: buckets with two classes
     label = F.coalesce("root", "rep").alias("label")
     rest = found.join(classes, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", label)
-    rest = written(rest, "labelled")
-    mixed = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("rep").alias("head")).where("x <> y")
-    rest = rest.join(mixed.select("bucket", "head"), "bucket")
+    labelled = written(rest, "labelled")
+    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("rep").alias("head")).where("x <> y")
+    rest = labelled.join(mixed.select("bucket", "head"), "bucket")
     groups = components(rest.select(F.col("rep").alias("a"), F.col("head").alias("b")))
     members = rest.select(F.col("rep").alias("doc_id"), "n", "label").distinct().join(groups, F.col("doc_id") == F.col("node")) \
         .select("doc_id", "n", "label", "root")
@@ -336,8 +344,9 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     dealt = members.join(blocks, "root").select("root", "doc_id", "label", "blocks", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block")).distinct()
     full = dealt.join(sets, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "label", "block", "shingles")
-    more = full.groupBy("root", "i", "j").applyInArrow(_among, "a bigint, b bigint")
-    return first.unionByName(written(more, "more-links"))
+    more = written(full.groupBy("root", "i", "j").applyInArrow(_among, "a bigint, b bigint"), "more-links")
+    discard(sets, pairs, labelled, members)
+    return first.unionByName(more)
 
 
 def join_classes(docs: DataFrame) -> DataFrame:
@@ -348,7 +357,10 @@ def join_classes(docs: DataFrame) -> DataFrame:
     reps = written(named.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "reps")
     distinct = named.where(F.size("asks") > 0).groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("asks").alias("asks"))
-    found = links(docs, candidates(written(distinct.drop("set_key"), "distinct")))
+    distinct = written(distinct.drop("set_key"), "distinct")
+    buckets = candidates(distinct)
+    discard(distinct)
+    found = links(docs, buckets)
     # ids with different texts: their sets are linked through the id
     several = signed.where("doc_id is not null").groupBy("doc_id").agg(
         F.min("set_key").alias("x"), F.max("set_key").alias("y"), F.count("set_key").alias("n"), F.count(F.lit(1)).alias("rows")) \
