@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eddy.llm.graph import components, written
-from eddy.llm.textarrays import mix, shingles, texts
+from eddy.llm.textarrays import mix, shingles, texts, tidy, tidy_batches
 
 BANDS, ROWS = 40, 4
 BUCKETS = BANDS * ROWS
@@ -174,7 +174,7 @@ def _verify(table: pa.Table) -> pa.Table:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = written(docs.mapInArrow(_sign, _SIGNED), "signed")
+    signed = written(docs.mapInArrow(tidy_batches(_sign), _SIGNED), "signed")
     named = signed.where("set_key is not null and doc_id is not null")
     reps = named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"),
                                         F.any_value("bands").alias("bands"))
@@ -190,12 +190,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.col("node").alias("doc_id"), "root", "n_blocks",
         F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("block"))
     sets = docs.join(members, "doc_id").select("doc_id", "root", "n_blocks", "block", "text").mapInArrow(
-        _sets, "doc_id bigint, root bigint, n_blocks int, block int, regs binary, shingles binary")
+        tidy_batches(_sets), "doc_id bigint, root bigint, n_blocks int, block int, regs binary, shingles binary")
     other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
     tasks = sets.where("length(shingles) > 0").withColumn("other", other).select(
         "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "doc_id", "block", "regs", "shingles")
-    links = tasks.groupBy("root", "i", "j").applyInArrow(_verify, "a bigint, b bigint")
+    links = tasks.groupBy("root", "i", "j").applyInArrow(tidy(_verify), "a bigint, b bigint")
     # ids with different texts: their sets are linked through the id
     several = named.groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y"))
     empty = signed.where("set_key is null and doc_id is not null").select("doc_id").distinct()

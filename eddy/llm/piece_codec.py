@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Regex, Tokenizer, models, normalizers, pre_tokenizers
 
-from eddy.llm.textarrays import slices, utf8
+from eddy.llm.textarrays import slices, tidy_batches, utf8
 
 MARK = "▁"
 THREADS = 2
@@ -212,7 +212,7 @@ def encode(docs: DataFrame, model_file: str, threads: int = THREADS) -> DataFram
                                                  names=["doc_id", "ids", "n_tokens", "parity"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text") \
-        .mapInArrow(run, "doc_id bigint, ids array<int>, n_tokens bigint, parity boolean")
+        .mapInArrow(tidy_batches(run), "doc_id bigint, ids array<int>, n_tokens bigint, parity boolean")
 
 
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:
@@ -258,4 +258,4 @@ def encode_and_check(docs: DataFrame, model_file: str, threads: int = THREADS) -
                      pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]), pa.array([t == u for t, u in zip(back, texts)])], names=names)
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, ids array<int>, n_tokens bigint, n_byte_tokens bigint, parity boolean, decoded_sha256 string, round_trip boolean")
+        tidy_batches(run), "doc_id bigint, ids array<int>, n_tokens bigint, n_byte_tokens bigint, parity boolean, decoded_sha256 string, round_trip boolean")

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from eddy.llm.graph import written
 from eddy.llm.suffixes import common_prefixes, sort_suffixes
-from eddy.llm.textarrays import mix, utf8
+from eddy.llm.textarrays import mix, tidy, tidy_batches, tidy_pair, utf8
 
 WINDOW, PIECE = 50, 16
 STEP_BYTES = 1 << 20          # of one text looked at together
@@ -277,8 +277,9 @@ def _passages(buckets: int, sort_buckets: int, hot: np.ndarray, string_buckets:
         docs, keys = docs[order], keys[order]
         ids = left.column("doc_id").to_pylist()
         data, off = utf8(left.column("text"))
-        seen: dict[bytes, int] = {}
-        sent, told, rows = [], [], []
+        view = memoryview(np.ascontiguousarray(data))
+        # the passages found: arrays of places in the texts, and 128-bit hashes
+        runs, digests, rows = [], bytearray(), []
         found, n_found = [], 0
 
         def strings():
@@ -291,42 +292,48 @@ def _passages(buckets: int, sort_buckets: int, hot: np.ndarray, string_buckets:
             if a == b:
                 continue
             mine, text = keys[a:b], data[off[i]:off[i + 1]]
-            raw = text.tobytes()
             for k, x, y in key_runs(text, buckets):
                 at = np.minimum(np.searchsorted(mine, k), len(mine) - 1)
                 hit = np.flatnonzero(mine[at] == k)
+                if not len(hit):
+                    continue
+                start, end = x[hit] + int(off[i]), y[hit] + (WINDOW - 1) + int(off[i])
+                for p, q in zip(start.tolist(), end.tolist()):
+                    digests += xxhash.xxh3_128_digest(view[p:q])
+                to = ((k[hit] & _LOW) * _U(sort_buckets) >> _U(32)).astype(np.int64)
                 if len(hot):
-                    over = np.isin(k[hit], hot)
-                    for p, q in zip(x[hit[over]].tolist(), (y[hit[over]] + (WINDOW - 1)).tolist()):
-                        if seen.setdefault(raw[p:q], doc) != doc:
-                            told.append((doc, copy, p, q - p, 0))
-                            continue
-                        for f in range(p, q - (WINDOW - 1), HOT_STRINGS):
-                            n = min(HOT_STRINGS, q - (WINDOW - 1) - f)
-                            hashes = b"".join(xxhash.xxh3_128_digest(raw[j:j + WINDOW]) for j in range(f, f + n))
-                            found.append((np.frombuffer(hashes, np.uint64).reshape(-1, 2), np.full(n, doc, np.int64),
-                                          np.full(n, copy, np.int64), np.arange(f, f + n)))
-                            n_found += n
-                            if n_found >= HOT_STRINGS:
-                                strings()
-                                found, n_found = [], 0
-                    hit = hit[~over]
-                to = ((k[hit] & _LOW) * _U(sort_buckets) >> _U(32)).tolist()
-                for t, p, q in zip(to, x[hit].tolist(), (y[hit] + (WINDOW - 1)).tolist()):
-                    passage = raw[p:q]
-                    if seen.setdefault(passage, doc) == doc:
-                        sent.append((t, doc, copy, p, passage))
-                    else:
-                        told.append((doc, copy, p, q - p, 0))
-        if found:
-            strings()
-        sent.sort(key=lambda s: s[0])
-        to = np.array([s[0] for s in sent], np.int64)
-        for a, b in zip(*_groups(to)):
-            _, d, c, p, passages = zip(*sent[a:b])
-            rows.append((int(to[a]), *_numbers(d, c, p, [len(x) for x in passages], [0] * len(passages)), _pack(b"".join(passages))))
-        if told:
-            rows.append((-1 - int(left.column("part")[0].as_py()), *_numbers(*zip(*told)), _pack(b"")))
+                    to[np.isin(k[hit], hot)] = -1
+                runs.append((to, np.full(len(hit), doc, np.int64), np.full(len(hit), copy, np.uint32), start - int(off[i]), start, end - start))
+        if runs:
+            to, doc, copy, place, start, length = map(np.concatenate, zip(*runs))
+            runs.clear()
+            digest = np.frombuffer(digests, np.uint64).reshape(-1, 2)
+            order = np.lexsort((digest[:, 1], digest[:, 0]))            # stable: equal passages stay by document
+            new = np.append(True, (digest[order[1:]] != digest[order[:-1]]).any(axis=1))
+            least = np.empty(len(order), np.int64)
+            least[order] = doc[order[np.flatnonzero(new)]][np.cumsum(new) - 1]
+            again = doc != least                                        # whole in a smaller document here
+            if again.any():
+                rows.append((-1 - int(left.column("part")[0].as_py()),
+                             *_numbers(doc[again], copy[again], place[again], length[again], np.zeros(again.sum())), _pack(b"")))
+            for j in np.flatnonzero(~again & (to < 0)):                 # of hot keys: string by string
+                for f in range(0, int(length[j]) - (WINDOW - 1), HOT_STRINGS):
+                    n, p = min(HOT_STRINGS, int(length[j]) - (WINDOW - 1) - f), int(start[j]) + f
+                    hashes = b"".join(xxhash.xxh3_128_digest(view[p + e:p + e + WINDOW]) for e in range(n))
+                    found.append((np.frombuffer(hashes, np.uint64).reshape(-1, 2), np.full(n, doc[j], np.int64),
+                                  np.full(n, copy[j], np.int64), int(place[j]) + f + np.arange(n)))
+                    n_found += n
+                    if n_found >= HOT_STRINGS:
+                        strings()
+                        found, n_found = [], 0
+            if found:
+                strings()
+            sent = np.flatnonzero(~again & (to >= 0))
+            sent = sent[np.argsort(to[sent], kind="stable")]
+            for a, b in zip(*_groups(to[sent])):
+                x = sent[a:b]
+                text = b"".join([view[p:p + n] for p, n in zip(start[x].tolist(), length[x].tolist())])
+                rows.append((int(to[x[0]]), *_numbers(doc[x], copy[x], place[x], length[x], np.zeros(b - a)), _pack(text)))
         bucket, *blobs = zip(*rows) if rows else ([],) * 7
         return pa.table([pa.array(bucket, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)],
                         names=["bucket", *_KINDS, "text"])
@@ -453,8 +460,8 @@ def remove_repeats(docs: DataFrame, keep: str | None = "kept", carry: tuple[str,
     sort_buckets = LEAST_BUCKETS + int(total) // SORT_BUCKET_BYTES
     parts = _prime(LEAST_BUCKETS + int(total) // PART_BYTES)
 
-    asked = docs.select("doc_id", "text").mapInArrow(_ask(buckets), _ASK)
-    shared = written(asked.groupBy("bucket").applyInArrow(_shared(parts), "part bigint, docs binary, keys binary"), "shared")
+    asked = docs.select("doc_id", "text").mapInArrow(tidy_batches(_ask(buckets)), _ASK)
+    shared = written(asked.groupBy("bucket").applyInArrow(tidy(_shared(parts)), "part bigint, docs binary, keys binary"), "shared")
     over = [(_unpack(r["docs"]), _unpack(r["keys"])) for r in shared.where("part = -1").select("docs", "keys").collect()]
     hot = np.sort(np.frombuffer(b"".join(k for _, k in over), np.uint64))
     hot_bytes = int(np.frombuffer(b"".join(n for n, _ in over), np.int64).sum())
@@ -465,11 +472,11 @@ def remove_repeats(docs: DataFrame, keep: str | None = "kept", carry: tuple[str,
     # one exchange of the texts serves both uses
     dealt = docs.withColumn("part", part.cast("bigint"))
     passages = dealt.groupBy("part").cogroup(shared.where("part >= 0").groupBy("part")).applyInArrow(
-        _passages(buckets, sort_buckets, hot, string_buckets), _PASSAGES)
+        tidy_pair(_passages(buckets, sort_buckets, hot, string_buckets)), _PASSAGES)
     spans = passages.groupBy("bucket").applyInArrow(
-        _spans(parts, sort_buckets), "part bigint, docs binary, copies binary, places binary, lengths binary, back binary")
+        tidy(_spans(parts, sort_buckets)), "part bigint, docs binary, copies binary, places binary, lengths binary, back binary")
     outputs = [c for c in _CUT if c not in ("kept", "kept_text") or c == keep]
     kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in dealt.schema if f.name.startswith("carried_"))
     schema = "doc_id bigint" + "".join(f", {c} {_CUT[c][1]}" for c in outputs) + kinds
-    cut = dealt.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(_cut(outputs), schema)
+    cut = dealt.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(tidy_pair(_cut(outputs)), schema)
     return cut.select("doc_id", *outputs, *[F.col(f"carried_{c}").alias(c) for c in carry])

@@ -9,7 +9,8 @@ Words are ``[^\\x20\\x09-\\x0D]+``.  A null text is an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,49 @@ def slices(off: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         a = min(b, n)
 
 
+def give_back() -> None:
+    """Return the memory that this process has freed.
+
+    Spark keeps Python workers for later tasks, and allocators keep what one
+    task freed; several idle workers would so hold an executor's memory.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # not the C library that has it
+        pass
+
+
+def tidy(group: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """A function of groups that gives its memory back after each one."""
+    def run(table):
+        try:
+            return group(table)
+        finally:
+            give_back()
+    return run
+
+
+def tidy_pair(group: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The same for cogroups."""
+    def run(left, right):
+        try:
+            return group(left, right)
+        finally:
+            give_back()
+    return run
+
+
+def tidy_batches(batches_of: Callable) -> Callable:
+    """A function of Arrow batches that gives its memory back at its task's end."""
+    def run(batches):
+        try:
+            yield from batches_of(batches)
+        finally:
+            give_back()
+    return run
+
+
 class Words:
     """Words of a run of texts.
 
