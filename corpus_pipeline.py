@@ -7,6 +7,7 @@ Rows with a null doc_id pass the stages that compare documents.
 
 from __future__ import annotations
 
+import functools
 import os
 
 import public_tokenizers
@@ -23,6 +24,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+#: Bytes of texts that go to a Python worker at once; the stages share the workers.
+BATCH_BYTES = 8 << 20
+
+
+def _bounded(stage):
+    """The stage, with its Arrow batches bounded by bytes and not by rows alone."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+    return run
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
     model = nb_svm.train(docs, _table(spark, sf_dir, "labels"))
@@ -59,11 +73,11 @@ def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 STAGES = [
-    ("quality classifier", quality),
-    ("MinHash near-dedup", near_duplicates),
-    ("suffix-array dedup", repeated_passages),
-    ("benchmark decontamination", benchmark_leaks),
-    ("SentencePiece encoding and decoding", sentencepiece_ids),
+    ("quality classifier", _bounded(quality)),
+    ("MinHash near-dedup", _bounded(near_duplicates)),
+    ("suffix-array dedup", _bounded(repeated_passages)),
+    ("benchmark decontamination", _bounded(benchmark_leaks)),
+    ("SentencePiece encoding and decoding", _bounded(sentencepiece_ids)),
 ]
 
 #: The stages have no SQL; tests hold the rows against brute force.
