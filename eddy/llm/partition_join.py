@@ -286,8 +286,9 @@ def candidates(reps: DataFrame) -> DataFrame:
     asked = rows_of(wide_asks.select("rep", "n", F.explode("hashes").alias("hash")), 0, "hash") \
         .unionByName(rows_of(wide_asks, 1, "sig")).distinct()
     asked = written(asked, "asked")
-    indexed = asks.where("lower = 0").select("rep", "n", "band", "whole", parts).join(wide_asks.select("band", "j").distinct(), ["band", "j"]) \
-        .select("rep", "n", F.get("whole", F.col("j") * NEAR_EVERY).alias("sig"), "hashes")
+    segment = asks.where("lower = 0").select("rep", "n", "band", "whole", parts) \
+        .select("rep", "n", "band", "j", F.get("whole", F.col("j") * NEAR_EVERY).alias("sig"), "hashes")
+    indexed = segment.join(wide_asks.select("band", "j").distinct(), ["band", "j"], "left_semi").select("rep", "n", "sig", "hashes")
     indexed = rows_of(indexed, 0, "sig").unionByName(rows_of(indexed.select("rep", "n", F.explode("hashes").alias("hash")), 1, "hash"))
     held = indexed.join(asked.select("bucket").distinct(), "bucket", "left_semi")
     # all signatures that two sets share and one asks for
