@@ -79,30 +79,38 @@ def _clean(docs: DataFrame) -> DataFrame:
 
 
 def _sum_vectors(batches):
-    """Partial sums of the vectors of each group; a term null tells that the group exists."""
+    """Partial sums of the vectors of each group; a term null tells that the group exists.
+
+    Vectors are added to their group's buffer term by term, without being made apart.
+    """
     sums: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     size = 0
 
     def flush():
-        rows = [(lang, source, None, 0, 0) for lang, source in sums]
-        rows += [(lang, source, t.decode(), n, docs[t]) for (lang, source), (counts, docs) in sums.items() for t, n in counts.items()]
-        lang, source, term, n, docs = zip(*rows) if rows else ([],) * 5
-        return pa.RecordBatch.from_arrays([*(pa.array(x, pa.string()) for x in (lang, source, term)), pa.array(n, pa.int64()), pa.array(docs, pa.int64())],
-                                          names=["lang", "source", "term", "n", "docs"])
+        columns = [[], [], [], [], []]
+        for (lang, source), (counts, docs) in sums.items():
+            n = len(counts) + 1
+            columns[0].append(pa.repeat(pa.scalar(lang, pa.string()), n))
+            columns[1].append(pa.repeat(pa.scalar(source, pa.string()), n))
+            columns[2].append(pa.array([None, *counts], pa.binary()).cast(pa.string()))
+            columns[3].append(pa.array([0, *counts.values()], pa.int64()))
+            columns[4].append(pa.array([0, *map(docs.__getitem__, counts)], pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], names=["lang", "source", "term", "n", "docs"])
 
     for b in batches:
         texts = b.column("text").cast(pa.binary())
         for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), texts):
-            vector = term_counts(text.as_buffer().to_pybytes())
+            terms = _TERM.findall(text.as_buffer().to_pybytes().lower())
             counts, docs = sums.setdefault((lang, source), (Counter(), Counter()))
             size -= len(counts)
-            counts.update(vector)
-            docs.update(vector.keys())
+            counts.update(terms)
+            docs.update(set(terms))
             size += len(counts)
             if size >= BUFFER_TERMS:
                 yield flush()
                 sums, size = {}, 0
-    yield flush()
+    if sums:
+        yield flush()
 
 
 def group_sums(docs: DataFrame) -> DataFrame:
