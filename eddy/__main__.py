@@ -93,7 +93,8 @@ def _topic_job(spark, args, checkpoint):
     if args.job == "route":
         return jobs.route_job(records(RECORD), append(args.even), append(args.odd), append(args.dead), checkpoint)
     logs = jobs.upsert_logs(args.tuple, args.employee, args.bean)
-    return jobs.table_sink_job(records(f"{RECORD}, {PLACE}"), *(x.write_batch for x in logs.values()), checkpoint)
+    return jobs.table_sink_job(records(f"{RECORD}, {PLACE}"), *(x.write_batch for x in logs.values()), checkpoint,
+                               compact=list(logs.values()))
 
 
 def main(argv: list[str] | None = None) -> int:

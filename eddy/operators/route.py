@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -56,6 +56,46 @@ def dead_letters(df: DataFrame, id_col: str = "id") -> DataFrame:
 
 Writer = Callable[[DataFrame], None]
 
+BRANCHES = ("even", "odd", "dead", "bad")
+
+
+def classify(rows: DataFrame, id_col: str = "id") -> DataFrame:
+    """``rows`` with the ``branch`` of each: even, odd, dead (no id) or bad (no ``record``).
+
+    ``rows`` have the decoded ``record`` struct, null where there is none.
+    """
+    i = F.col(f"record.{id_col}")
+    branch = F.when(F.col("record").isNull(), "bad").when(i.isNull(), "dead").when(is_even(i), "even").otherwise("odd")
+    return rows.withColumn("branch", branch)
+
+
+def write_branches(rows: DataFrame, writers: dict[str, Writer | None], id_col: str = "id",
+                   storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict[str, int]:
+    """U3 in one pass: classify a micro-batch once, write every branch from that copy.
+
+    Even and dead records go out as they are, odd ones as (key, record), bad
+    rows without their record.  A branch without a writer is left out.
+    Returns the rows of the ``input`` and of each branch, counted by the same
+    pass that classified them.
+    """
+    seen = Observation()
+    counts = [F.count_if(F.col("branch") == b).alias(b) for b in BRANCHES]
+    classified = classify(rows, id_col).observe(seen, F.count(F.lit(1)).alias("input"), *counts).persist(storage)
+    try:
+        def of(branch: str) -> DataFrame:
+            mine = classified.where(F.col("branch") == branch)
+            if branch == "bad":
+                return mine.drop("record", "branch")
+            if branch == "odd":
+                return mine.select(F.expr(f"record.`{id_col}` div 2").alias("key"), "record")
+            return mine.select("record.*")
+        for branch, write in writers.items():
+            if write is not None:
+                write(of(branch))
+        return {k: int(v) for k, v in seen.get.items()}
+    finally:
+        classified.unpersist()
+
 
 def fan_out(batch: DataFrame, branches: dict[str, tuple[Callable[[DataFrame], DataFrame], Writer]],
             storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> list[str]:

@@ -5,7 +5,8 @@ a later insert of the same key replaces the row (last write wins).  Its
 annotated-mapper variant skips null fields, so a null never overwrites a
 stored value.  As batch plans:
 
-* ``upsert_last_write``: ``max_by(column, order)`` per key and column;
+* ``upsert_last_write``: ``max_by(column, order)`` per key and column, or
+  the latest order per key and the rows it names;
 * ``upsert_ignore_nulls``: per column, the latest *non-null* value.
 
 Both are grouped aggregates with map-side partial aggregation, so a hot
@@ -56,15 +57,31 @@ def _order(order: Sequence[str] | str) -> Column:
     return F.struct(*[F.col(o) for o in order]) if len(order) > 1 else F.col(order[0])
 
 
+# Types that a hash aggregate can keep in its buffer.
+_FIXED = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
+
+
 def upsert_last_write(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
                       values: Sequence[str]) -> DataFrame:
     """K8: the latest row per key; ``order`` must not tie within a key.
 
-    One ``max_by(value, order)`` per column: with a single, fixed-width
-    order column every aggregation buffer is fixed-width, so Spark runs a
-    hash aggregate (a struct-valued buffer would force a sort aggregate).
-    With a unique order all columns come from the same, latest row.
+    With a single order column and values of fixed width, one
+    ``max_by(value, order)`` per column: a hash aggregate, as every buffer is
+    of fixed width.  A text or nested value would force a sort aggregate of
+    whole rows; then the order alone is aggregated per key, by hash, and the
+    rows it names are fetched by a semi-join on (keys, order).  A row written
+    twice (same key, order and values) is one row.
     """
+    kinds = dict(df.dtypes)
+    one = [order] if isinstance(order, str) else list(order)
+    if len(one) == 1 and kinds[one[0]] in _FIXED and any(kinds[v] not in _FIXED for v in values):
+        latest = df.groupBy(*keys).agg(F.max(one[0]).alias("_at"))
+        latest = latest.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_at")
+        same = F.col(one[0]) == F.col("_at")
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+        rows = df.select(*dict.fromkeys([*keys, *one, *values])).join(latest, same, "left_semi")
+        return rows.distinct().select(*keys, *values)
     o = _order(order)
     agg = df.groupBy(*keys).agg(*[F.max_by(F.col(v), o).alias(v) for v in values])
     return agg.select(*keys, *values)

@@ -3,22 +3,20 @@
 Each processor holds the reference's keyed state in Spark's state store
 (RocksDB, checkpointed with the query) and emits rows as the reference's
 functions do.  Rows of one key reach a processor unsorted within a
-micro-batch, so each processor sorts the rows it is handed - only those
-of one key in one micro-batch, bounded by the trigger size - by the
-sequence column before applying them.
+micro-batch, as frames; each processor orders those of its key, which the
+trigger bounds, and applies them as arrays.
 
 ``RunningHoldings``  A1: holding after each ownership change.
 ``Portfolio``        J2: each price revalues every holder (map state).
 ``ToggleTimeout``    J4 as coded: processing-time timer per opening.
-``CleanTimeout``     J4 as intended, in event time: rows wait in list
-                     state until the watermark passes them, then replay in
+``CleanTimeout``     J4 as intended, in event time: rows wait in time buckets
+                     until the watermark passes them, then are taken in
                      order, so results do not depend on batch boundaries.
-``SidedTimeout``     J4 by side, in event time, with per-side queues.
+``SidedTimeout``     J4 by side, in event time, in the same buckets.
 
-Rows travel between the JVM and the Python worker in Arrow batches; only
-the per-record state machine, which is what the reference computes, runs
-row by row.  (J3, each price with every earlier lot, is a stream-stream
-join: see ``jobs.lot_valuation``.)
+Only ``ToggleTimeout`` goes row by row: it depends on the wall clock.  (J3,
+each price with every earlier lot, is a stream-stream join: see
+``jobs.lot_valuation``.)
 
 The reference's state never expires.  ``state_ttl_ms`` (holdings,
 portfolio, toggle) gives every state variable a processing-time
@@ -27,9 +25,10 @@ time-to-live; the job then runs in ``processingTime`` mode, which TTL needs.
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -40,11 +39,6 @@ PORTFOLIO_SCHEMA = ("user_id bigint, nav_id bigint, unit_value bigint, "
 TRANSACTION_SCHEMA = "trans_id bigint, timestamp bigint, event_id bigint, amount string"
 
 
-def _price_first(r) -> tuple:
-    # a price at the same seq as an ownership change is applied first
-    return (r["seq"], 0 if r["kind"] == "nav" else 1)
-
-
 class _Ttl(StatefulProcessor):
     def __init__(self, state_ttl_ms: int | None = None):
         self.state_ttl_ms = int(state_ttl_ms) if state_ttl_ms else None
@@ -72,42 +66,67 @@ class RunningHoldings(_Ttl):
 
 
 class Portfolio(_Ttl):
-    """J2, keyed by nav_id over a tagged union (kind 'own' / 'nav').
+    """J2, keyed by (nav_id, bucket of users) over a tagged union (kind 'own' / 'nav').
+
+    A nav's holders are dealt to buckets and its prices go to all of them, so
+    a nav with most of the rows is as many tasks as there are buckets, each
+    with its own part of the map state user_id -> holding.
 
-    Map state user_id -> holding.  An ownership change updates one entry
-    (missing = 0); a price emits one row per entry.  Changes made in the
-    current micro-batch are kept in a small dict and written once at the
-    end; a price streams the stored map (never loaded whole into Python)
-    and overlays those changes, so memory stays bounded by the batch.
+    Inside a micro-batch, changes become a grid (price, user) of shares whose
+    running sum down the prices is what each price sees; users without a
+    change are read from the state, a piece at a time, and multiplied with all
+    prices at once.  Neither holds more than ``cells`` values.
     """
 
+    def __init__(self, state_ttl_ms: int | None = None, cells: int = 1 << 20):
+        super().__init__(state_ttl_ms)
+        self.cells = int(cells)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.holdings = handle.getMapState("holdings", "user_id bigint", "holding bigint",
                                            self.state_ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        changed = {}             # this batch's holdings, by user
-        for r in sorted(rows, key=_price_first):
-            if r["kind"] == "own":
-                user = r["user_id"]
-                if user in changed:
-                    cur = changed[user]
-                else:
-                    got = self.holdings.getValue((user,))
-                    cur = got[0] if got else 0
-                changed[user] = cur + r["share"]
-                continue
-            v = r["unit_value"]
-            if self.holdings.exists():
-                for (user,), (h,) in self.holdings.iterator():
-                    if user not in changed:
-                        yield Row(user_id=user, nav_id=r["nav_id"], unit_value=v,
-                                  new_valuation=v * h, seq=r["seq"])
-            for user, h in changed.items():
-                yield Row(user_id=user, nav_id=r["nav_id"], unit_value=v,
-                          new_valuation=v * h, seq=r["seq"])
-        for user, h in changed.items():
-            self.holdings.updateValue((user,), (h,))
+    @staticmethod
+    def _rows(nav_id, users, units, holdings, seqs) -> pd.DataFrame:
+        value = units * holdings
+        if (abs(units.astype(float) * holdings) >= 2.0 ** 63).any():
+            raise OverflowError(f"a valuation of nav {nav_id} exceeds 64 bits")
+        return pd.DataFrame({"user_id": users, "nav_id": nav_id, "unit_value": units, "new_valuation": value, "seq": seqs})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        is_own = (batch["kind"] == "own").to_numpy()
+        prices = batch[~is_own].sort_values("seq")
+        seq, unit = prices["seq"].to_numpy(), prices["unit_value"].to_numpy()
+        users, which = np.unique(batch["user_id"].to_numpy()[is_own], return_inverse=True)
+        share = batch["share"].to_numpy()[is_own]
+        # the first price that sees a change: one at the same seq comes before it
+        first = np.searchsorted(seq, batch["seq"].to_numpy()[is_own], side="right")
+        stored = [self.holdings.getValue((int(u),)) for u in users]
+        base = np.array([h[0] if h else 0 for h in stored], np.int64)
+        before = np.array([h is not None for h in stored], bool)
+        if len(seq):
+            step = max(1, self.cells // (len(seq) + 1))
+            for a in range(0, len(users), step):
+                b = min(len(users), a + step)
+                mine = (which >= a) & (which < b)
+                grid = np.zeros((len(seq) + 1, b - a), np.int64)
+                seen = np.zeros((len(seq) + 1, b - a), np.int64)
+                np.add.at(grid, (first[mine], which[mine] - a), share[mine])
+                np.add.at(seen, (first[mine], which[mine] - a), 1)
+                holding = base[a:b] + grid[:-1].cumsum(axis=0)
+                p, u = np.nonzero(before[a:b] | (seen[:-1].cumsum(axis=0) > 0))
+                if len(p):
+                    yield self._rows(key[0], users[a + u], unit[p], holding[p, u], seq[p])
+            changed, step = set(users.tolist()), max(1, self.cells // len(seq))
+            entries = self.holdings.iterator() if self.holdings.exists() else iter(())
+            others = ((u, h) for (u,), (h,) in entries if u not in changed)
+            while part := list(islice(others, step)):
+                u, h = np.array(part, np.int64).T
+                yield self._rows(key[0], np.tile(u, len(seq)), np.repeat(unit, len(u)), np.tile(h, len(seq)), np.repeat(seq, len(u)))
+        np.add.at(base, which, share)
+        for u, h in zip(users.tolist(), base.tolist()):
+            self.holdings.updateValue((u,), (h,))
 
     def close(self) -> None:
         pass
@@ -142,6 +161,76 @@ class _Wake:
         self.at.clear()
 
 
+class _Buckets:
+    """Rows in map state by time bucket: a call reads and writes only the buckets it needs.
+
+    A bucket's rows are one entry, a list for each column.  A small value
+    state lists the buckets and the earliest time in each.
+    """
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, columns: dict[str, str], width: int):
+        self.columns, self.width = list(columns), max(1, int(width))
+        self.rows = handle.getMapState(name, "bucket bigint", ", ".join(f"{c} array<{t}>" for c, t in columns.items()))
+        self.index = handle.getValueState(f"{name}_index", "buckets array<bigint>, earliest array<bigint>")
+
+    def _listed(self) -> dict[int, int]:
+        got = self.index.get() if self.index.exists() else None
+        return dict(zip(got[0], got[1])) if got else {}
+
+    def _list(self, earliest: dict[int, int]) -> None:
+        if earliest:
+            keys = sorted(earliest)
+            self.index.update((keys, [earliest[k] for k in keys]))
+        elif self.index.exists():
+            self.index.clear()
+
+    def add(self, frame: pd.DataFrame) -> None:
+        if not len(frame):
+            return
+        listed = self._listed()
+        for bucket, part in frame.groupby(frame["timestamp"] // self.width):
+            bucket = int(bucket)
+            old = self.rows.getValue((bucket,)) if bucket in listed else None
+            new = [part[c].tolist() for c in self.columns]
+            self.rows.updateValue((bucket,), tuple([*o, *n] for o, n in zip(old, new)) if old else tuple(new))
+            least = int(part["timestamp"].min())
+            listed[bucket] = min(least, listed.get(bucket, least))
+        self._list(listed)
+
+    def take(self, since: int | None, until: int) -> pd.DataFrame:
+        """Remove and return all rows of the buckets with times in [since, until)."""
+        listed, parts = self._listed(), []
+        for bucket in [b for b, least in listed.items() if least < until and (since is None or (b + 1) * self.width > since)]:
+            parts.append(pd.DataFrame(dict(zip(self.columns, map(list, self.rows.getValue((bucket,)))))))
+            self.rows.removeKey((bucket,))
+            del listed[bucket]
+        if parts:
+            self._list(listed)
+            return pd.concat(parts, ignore_index=True)
+        return pd.DataFrame({c: pd.Series(dtype="int64" if c in ("timestamp", "event_id") else object) for c in self.columns})
+
+    def earliest(self) -> int | None:
+        return min(self._listed().values(), default=None)
+
+
+def _frames(rows, columns: list[str]) -> pd.DataFrame:
+    return pd.concat([r[columns] for r in rows], ignore_index=True)
+
+
+def _in_time_order(frame: pd.DataFrame) -> pd.DataFrame:
+    return frame.sort_values(["timestamp", "event_id"], kind="stable", ignore_index=True)
+
+
+def _keyed(trans_id, frame: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
+    out = frame[columns].copy()
+    out.insert(0, "trans_id", trans_id)
+    return out
+
+
+_TX = {"timestamp": "bigint", "event_id": "bigint", "amount": "string"}
+_SIDED = {**_TX, "side": "string"}
+
+
 def _tx_row(t) -> Row:
     return Row(trans_id=t[0], timestamp=t[1], event_id=t[2], amount=t[3])
 
@@ -184,56 +273,59 @@ class CleanTimeout(StatefulProcessor):
     """J4 as intended, keyed by trans_id, event time (``timestamp`` in ms).
 
     A match cancels the pending timeout and an emit clears the key.  Rows
-    wait in a buffer until the watermark passes them; then they are
-    applied in (timestamp, event_id) order, timing out the open arrival
-    first when the new one is more than ttl after it.  An open arrival
-    times out once the watermark is past its deadline (a partner exactly
-    at the deadline is in time).
+    wait in time buckets until the watermark passes them; a call takes the
+    buckets that are due and leaves the others unread.  Due rows, behind the
+    open arrival, split into chains at gaps over ttl: an odd chain leaves its
+    last arrival without a partner, and the last chain's stays open until the
+    watermark is past its deadline (a partner exactly at the deadline is in
+    time).
     """
 
-    def __init__(self, ttl_ms: int):
+    def __init__(self, ttl_ms: int, bucket_ms: int | None = None):
         self.ttl_ms = int(ttl_ms)
+        self.bucket_ms = int(bucket_ms or max(1000, self.ttl_ms // 8))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.wake = _Wake(handle)
-        self.buffer = handle.getListState("buffer", TRANSACTION_SCHEMA)
+        self.buffer = _Buckets(handle, "buffer", _TX, self.bucket_ms)
         self.open = handle.getValueState("open", TRANSACTION_SCHEMA)
 
-    def _advance(self, wm: int, new: list[tuple]) -> Iterator[Row]:
-        pending = (list(self.buffer.get()) if self.buffer.exists() else []) + new
-        pending.sort(key=lambda t: (t[1], t[2]))
+    def _advance(self, trans_id, wm: int) -> Iterator[pd.DataFrame]:
+        columns = list(_TX)
+        taken = self.buffer.take(None, wm)
         # rows at the watermark itself may still have peers on the way
-        ready = [t for t in pending if t[1] < wm]
-        later = [t for t in pending if t[1] >= wm]
+        late = taken["timestamp"] >= wm
+        self.buffer.add(taken[late])
+        ready = _in_time_order(taken[~late])
         opened = self.open.get() if self.open.exists() else None
-        for t in ready:
-            if opened is not None and t[1] - opened[1] > self.ttl_ms:
-                yield _tx_row(opened)
-                opened = None
-            opened = t if opened is None else None
-        if opened is not None and wm > opened[1] + self.ttl_ms:
-            yield _tx_row(opened)
-            opened = None
+        if opened is not None:
+            ready = pd.concat([pd.DataFrame([tuple(opened)[1:]], columns=columns), ready], ignore_index=True)
         wakes = []
-        if opened is None:
-            self.open.clear()
-        else:
-            self.open.update(opened)
-            wakes.append(opened[1] + self.ttl_ms + 1)
-        if later:
-            self.buffer.put(later)
-            wakes.append(later[0][1] + 1)
-        else:
-            self.buffer.clear()
+        if len(ready):
+            t = ready["timestamp"].to_numpy(np.int64)
+            chain = np.cumsum(np.append(0, np.diff(t) > self.ttl_ms))
+            last = np.append(np.flatnonzero(np.diff(chain)), len(t) - 1)
+            odd = last[np.bincount(chain) % 2 == 1]
+            waits = len(odd) and odd[-1] == len(t) - 1 and t[-1] + self.ttl_ms >= wm
+            if waits:
+                odd = odd[:-1]
+                self.open.update((trans_id, int(t[-1]), int(ready["event_id"].iloc[-1]), ready["amount"].iloc[-1]))
+                wakes.append(int(t[-1]) + self.ttl_ms + 1)
+            elif opened is not None:
+                self.open.clear()
+            if len(odd):
+                yield _keyed(trans_id, ready.iloc[odd], columns)
+        if (next_row := self.buffer.earliest()) is not None:
+            wakes.append(next_row + 1)
         self.wake.set(min(wakes) if wakes else None)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r["trans_id"], r["timestamp"], r["event_id"], r["amount"]) for r in rows]
-        yield from self._advance(timerValues.getCurrentWatermarkInMs(), new)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        self.buffer.add(_frames(rows, list(_TX)))
+        yield from self._advance(key[0], timerValues.getCurrentWatermarkInMs())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.wake.fired()
-        yield from self._advance(timerValues.getCurrentWatermarkInMs(), [])
+        yield from self._advance(key[0], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
@@ -247,74 +339,73 @@ class SidedTimeout(StatefulProcessor):
     """J4 by side, keyed by trans_id, event time: arrivals with no arrival
     of the other side within +-ttl.
 
-    Rows wait until the watermark passes them, then are applied in
-    (timestamp, event_id) order.  Per side, a queue of still-unmatched
-    rows (oldest first) and the time of the latest arrival.  An arrival
-    at ``t`` first emits the other side's queued rows older than
-    ``t - ttl`` (nothing later can reach them), then matches - and drops -
-    the rest of that queue; it is itself matched if the other side's
-    latest arrival is within ttl, else it joins its own queue.  Every row
-    enters and leaves a queue once, so no pairs are ever formed.
+    Rows wait in time buckets until the watermark passes them.  Due rows are
+    compared, by binary search, with the nearest arrivals of the other side
+    before (among them and the latest of earlier calls) and after.  Those
+    without a partner wait, in buckets too, until nothing in reach can come
+    any more; a call takes only those that a due arrival may reach, or whose
+    time is up.  No pairs are formed.
     """
 
-    def __init__(self, ttl_ms: int, sides=("debit", "credit")):
+    def __init__(self, ttl_ms: int, sides=("debit", "credit"), bucket_ms: int | None = None):
         self.ttl_ms = int(ttl_ms)
         self.sides = tuple(sides)
+        self.bucket_ms = int(bucket_ms or max(1000, self.ttl_ms // 8))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.wake = _Wake(handle)
-        self.buffer = handle.getListState("buffer", SIDED_SCHEMA)
-        self.queue = {s: handle.getListState(f"queue_{s}", SIDED_SCHEMA) for s in self.sides}
+        self.buffer = _Buckets(handle, "buffer", _SIDED, self.bucket_ms)
+        self.alone = _Buckets(handle, "alone", _SIDED, self.bucket_ms)
         self.last = handle.getMapState("last", "side string", "timestamp bigint")
 
-    def _advance(self, wm: int, new: list[tuple]) -> Iterator[Row]:
-        pending = (list(self.buffer.get()) if self.buffer.exists() else []) + new
-        pending.sort(key=lambda t: (t[1], t[2]))
-        ready = [t for t in pending if t[1] < wm]
-        later = [t for t in pending if t[1] >= wm]
-        queue = {s: deque(self.queue[s].get() if self.queue[s].exists() else ())
-                 for s in self.sides}
-        last = {s: (self.last.getValue((s,)) or (None,))[0] for s in self.sides}
-        out = []
-        for t in ready:
-            side = t[4]
-            other = self.sides[1] if side == self.sides[0] else self.sides[0]
-            q = queue[other]
-            while q and q[0][1] < t[1] - self.ttl_ms:
-                out.append(q.popleft())
-            q.clear()                                   # all within ttl: matched
-            if last[other] is None or t[1] - last[other] > self.ttl_ms:
-                queue[side].append(t)
-            last[side] = t[1]
+    def _advance(self, trans_id, wm: int) -> Iterator[pd.DataFrame]:
+        taken = self.buffer.take(None, wm)
+        late = taken["timestamp"] >= wm
+        self.buffer.add(taken[late])
+        ready = _in_time_order(taken[~late])
+        done = wm - self.ttl_ms                         # of earlier rows all partners are known
+        waiting = self.alone.take(None, done)
+        if len(ready):
+            first = int(ready["timestamp"].iloc[0])
+            waiting = pd.concat([waiting, self.alone.take(first - self.ttl_ms, wm)], ignore_index=True)
+        rows = _in_time_order(pd.concat([waiting, ready], ignore_index=True))
+        if len(rows):
+            t, side = rows["timestamp"].to_numpy(np.int64), rows["side"].to_numpy()
+            met = np.zeros(len(rows), bool)
+            for one, other in (self.sides, self.sides[::-1]):
+                mine = np.flatnonzero(side == one)
+                known = self.last.getValue((other,))
+                theirs = ready["timestamp"].to_numpy(np.int64)[ready["side"].to_numpy() == other]
+                theirs = np.append([known[0]] if known else [], theirs).astype(np.int64)
+                if not len(theirs):
+                    continue
+                at = np.searchsorted(theirs, t[mine], side="right")
+                before = (at > 0) & (t[mine] - theirs[np.maximum(at - 1, 0)] <= self.ttl_ms)
+                after = (at < len(theirs)) & (theirs[np.minimum(at, len(theirs) - 1)] - t[mine] <= self.ttl_ms)
+                met[mine] = before | after
+            left = rows[~met]
+            over = left["timestamp"] < done
+            self.alone.add(left[~over])
+            if over.any():
+                yield _keyed(trans_id, left[over], list(_SIDED))
+            for s in self.sides:
+                times = ready["timestamp"][ready["side"] == s]
+                if len(times):
+                    self.last.updateValue((s,), (int(times.max()),))
         wakes = []
-        for s in self.sides:                            # no partner can come any more
-            q = queue[s]
-            while q and q[0][1] + self.ttl_ms < wm:
-                out.append(q.popleft())
-            if q:
-                self.queue[s].put(list(q))
-                wakes.append(q[0][1] + self.ttl_ms + 1)
-            else:
-                self.queue[s].clear()
-            if last[s] is not None:
-                self.last.updateValue((s,), (last[s],))
-        if later:
-            self.buffer.put(later)
-            wakes.append(later[0][1] + 1)
-        else:
-            self.buffer.clear()
+        if (next_row := self.buffer.earliest()) is not None:
+            wakes.append(next_row + 1)
+        if (next_done := self.alone.earliest()) is not None:
+            wakes.append(next_done + self.ttl_ms + 1)
         self.wake.set(min(wakes) if wakes else None)
-        for t in out:
-            yield Row(trans_id=t[0], timestamp=t[1], event_id=t[2], amount=t[3], side=t[4])
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r["trans_id"], r["timestamp"], r["event_id"], r["amount"], r["side"])
-               for r in rows]
-        yield from self._advance(timerValues.getCurrentWatermarkInMs(), new)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        self.buffer.add(_frames(rows, list(_SIDED)))
+        yield from self._advance(key[0], timerValues.getCurrentWatermarkInMs())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.wake.fired()
-        yield from self._advance(timerValues.getCurrentWatermarkInMs(), [])
+        yield from self._advance(key[0], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass

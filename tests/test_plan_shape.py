@@ -25,8 +25,8 @@ SHAPES = {
     "route_odd_keyed": (0, 1),
     "upsert_last_write": (1, 1),
     "upsert_ignore_nulls": (1, 1),
-    "table_bind_tuple": (1, 1),
-    "table_rename_employee": (1, 1),
+    "table_bind_tuple": (4, 2),
+    "table_rename_employee": (4, 2),
     "parse_pair": (0, 1),
     "parse_nav_update": (0, 1),
     "parse_ownership": (0, 1),
@@ -61,12 +61,12 @@ def test_exchange_and_scan_counts(no_broadcast):
 
 
 def test_upserts_aggregate_by_hash(no_broadcast):
-    for name in ("upsert_last_write", "upsert_ignore_nulls"):
+    for name in ("upsert_last_write", "upsert_ignore_nulls", "table_bind_tuple", "table_rename_employee"):
         plan = _plan(no_broadcast, name)
         assert "HashAggregate" in plan and "SortAggregate" not in plan, name
 
 
-def test_windowed_join_is_sort_merge_on_key_and_window(no_broadcast):
+def test_windowed_join_is_sort_merge_on_key_and_pane(no_broadcast):
     plan = _plan(no_broadcast, "windowed_join")
-    assert "SortMergeJoin" in plan and "Expand" in plan
+    assert "SortMergeJoin" in plan and "Expand" not in plan
     assert "BroadcastExchange" not in plan

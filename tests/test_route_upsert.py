@@ -45,3 +45,12 @@ def test_positional_binds_and_rename(spark):
         raise AssertionError("expected a length error")
     except ValueError:
         pass
+
+
+def test_last_write_of_texts_by_locator(spark):
+    """Text values: null keys and values, a row written twice, and a late smaller order."""
+    rows = [(1, "a", 5, "x"), (1, "a", 9, None), (1, "a", 9, None), (1, None, 3, "n"), (1, None, 2, "m"), (None, "a", 1, "z"), (2, "b", 4, "y")]
+    df = spark.createDataFrame(rows, "id long, name string, at long, title string")
+    got = upsert.upsert_last_write(df, ["id", "name"], "at", ["title", "at"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, "a", None, 9), (1, None, "n", 3), (None, "a", "z", 1), (2, "b", "y", 4)], key=str)

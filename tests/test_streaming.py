@@ -238,21 +238,31 @@ def test_route_job(spark, scratch):
     out = {k: os.path.join(scratch, k) for k in ("even", "odd", "dead", "bad")}
     write = {k: (lambda d, p=p: d.write.mode("append").parquet(p)) for k, p in out.items()}
 
+    decoded = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counting(value):
+        decoded.add(1)
+        return bytes(value).decode() if value is not None else None
+
     def decode(batch):
-        return batch.where("value is not null").select(
-            F.from_json(F.col("value").cast("string"), "id bigint, user_id bigint").alias("r")).select("r.*")
+        return batch.withColumn("record", F.from_json(counting("value"), "id bigint, user_id bigint"))
 
+    counts = {}
     q = jobs.route_job(stream(spark, path, schema), write["even"], write["odd"], write["dead"],
-                       os.path.join(scratch, "ck"), decode=decode,
-                       bad=lambda d: d.where("value is null"), write_bad=write["bad"])
+                       os.path.join(scratch, "ck"), decode=decode, write_bad=write["bad"], on_counts=counts.__setitem__)
     q.processAllAvailable()
     q.stop()
+    assert decoded.value == recs.count()                 # each value once, whatever the branches
+    assert len(counts) == 2 and all(c["input"] == sum(c[b] for b in route.BRANCHES) for c in counts.values())
+    assert sum(c["input"] for c in counts.values()) == recs.count()
     got = {k: spark.read.parquet(p) for k, p in out.items()}
     assert got["even"].where("id % 2 != 0").count() == 0
     assert got["odd"].where("key * 2 + 1 != record.id").count() == 0
     assert got["dead"].where("id is not null").count() == 0 and got["dead"].count() > 0
     assert got["bad"].count() > 0
     assert sum(d.count() for d in got.values()) == recs.count()
+    assert {k: d.count() for k, d in got.items()} == {k: sum(c[k] for c in counts.values()) for k in route.BRANCHES}
 
 
 def test_undecodable_frames(spark):
@@ -275,6 +285,26 @@ def run_tables(spark, path, scratch, name):
     return logs
 
 
+def test_table_sink_compacts(spark, scratch):
+    """Every second micro-batch leaves a base; the table reads the same."""
+    from datetime import datetime
+    path = os.path.join(scratch, "recs")
+    for i in range(5):
+        spark.createDataFrame([(i % 2, "Ann", i, None if i % 3 else f"t{i}", datetime(2024, 1, 1), 0, i)], RECORD) \
+            .coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+    logs = jobs.upsert_logs(*(os.path.join(scratch, "c", t) for t in ("tuple", "employee", "bean")))
+    src = stream(spark, path, spark.read.parquet(path).schema)
+    q = jobs.table_sink_job(src, *(x.write_batch for x in logs.values()), os.path.join(scratch, "c", "ck"),
+                            compact=list(logs.values()), every=2)
+    q.processAllAvailable()
+    q.stop()
+    for name, log in logs.items():
+        assert sorted(r["_batch"] for r in spark.read.parquet(log.base).select("_batch").distinct().collect()) == [1, 3]
+    assert table_rows(spark, logs["tuple"]) == [(0, "Ann", 4, None), (1, "Ann", 3, "t3")]
+    assert table_rows(spark, logs["bean"]) == [(0, "Ann", 4, "t0"), (1, "Ann", 3, "t3")]
+
+
 def table_rows(spark, log):
     return sorted((tuple(r) for r in log.read(spark).collect()), key=str)
 
@@ -420,3 +450,127 @@ def test_portfolio_state_survives_restart(spark, scratch):
     q.awaitTermination(300)
     after = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert after == [(1, 123, 100, 1000, 1), (1, 123, 101, 707, 5), (2, 123, 101, 505, 5)]
+
+
+def _tasks_of(df, scratch, name):
+    """(rows of the result, rows by partition) of a stream."""
+    run_to_memory(df.withColumn("part", F.spark_partition_id()), name, scratch)
+    got = spark_rows = df.sparkSession.table(name)
+    return sorted(tuple(r) for r in got.drop("part").collect()), {r["part"]: r["count"] for r in spark_rows.groupBy("part").count().collect()}
+
+
+def test_hot_nav_is_many_tasks(spark, scratch):
+    """One nav holds most of the rows: its holders' buckets are in several tasks, the rows as in batch."""
+    rows_ = [(0 if i % 3 else i % 5, i % 40 if i % 2 else None, i, i % 7 if i % 2 else None, None if i % 2 else i % 11) for i in range(900)]
+    both = spark.createDataFrame(rows_, "nav_id long, user_id long, seq long, share long, unit_value long")
+    path = os.path.join(scratch, "both")
+    src = stream(spark, path, write_chunks(both, "seq", 3, path))
+    own, nav = (both.where(c).select(*cols) for c, cols in (("user_id is not null", ["nav_id", "user_id", "seq", "share"]),
+                                                            ("user_id is null", ["nav_id", "seq", "unit_value"])))
+    exp = sorted(tuple(r) for r in holdings.portfolio_valuation(own, nav).collect())
+    out = jobs.portfolio_valuation(src.where("user_id is not null"), src.where("user_id is null"))
+    got, parts = _tasks_of(out.where("nav_id = 0"), scratch, "hot_pv")
+    assert got == [r for r in exp if r[1] == 0]
+    assert len(parts) >= 3 and max(parts.values()) < 0.6 * len(got)
+
+
+def test_portfolio_in_small_pieces(spark, scratch, monkeypatch):
+    """Grids and pieces of a few cells give the same rows."""
+    from eddy.streaming import processors
+    own, nav = T.own(spark, SF_SMOKE), T.nav(spark, SF_SMOKE)
+    both = own.select("nav_id", "user_id", "seq", "share", F.lit(None).cast("bigint").alias("unit_value")).unionByName(
+        nav.select("nav_id", F.lit(None).cast("bigint").alias("user_id"), "seq", F.lit(None).cast("bigint").alias("share"), "unit_value"))
+    path = os.path.join(scratch, "both")
+    src = stream(spark, path, write_chunks(both, "seq", 3, path))
+    tagged = jobs._tagged(src.where("user_id is not null"), src.where("user_id is null"), 2)
+    out = tagged.groupBy("nav_id", "bucket").transformWithStateInPandas(processors.Portfolio(cells=7), processors.PORTFOLIO_SCHEMA, "append", "None")
+    run_to_memory(out, "pv_small", scratch)
+    assert rows(spark, "pv_small") == sorted(tuple(r) for r in holdings.portfolio_valuation(own, nav).collect())
+
+
+def test_hot_window_is_many_tasks(spark, scratch):
+    """All rows of one nav in one window: prices are dealt to salts, the rows as in batch."""
+    nav = spark.range(60).selectExpr("1L as nav_id", "id as unit_value", "id as seq", "timestamp_millis(1000000 + id) as ts")
+    own = spark.range(40).selectExpr("1L as nav_id", "id % 7 as user_id", "id as seq", "timestamp_millis(1000000 + id) as ts")
+    src = []
+    for name, df in (("nav", nav), ("own", own)):
+        path = os.path.join(scratch, name)
+        src.append(stream(spark, path, write_chunks(df, "seq", 2, path)))
+    exp = sorted(tuple(r) for r in nav_holder_join(nav, own, "2 hours", "1 hour").collect())
+    got, parts = _tasks_of(jobs.windowed_join(*src, "2 hours", "1 hour", lag="3 hours", salts=6), scratch, "hot_wj")
+    assert got == exp and len(exp) == 60 * 40 * 2
+    assert len(parts) >= 3
+
+
+class FakeState:
+    """Map and value state in memory that tells which entries were read or written."""
+
+    def __init__(self):
+        self.data, self.touched = {}, []
+
+    def getValue(self, key):
+        self.touched.append(key)
+        return self.data.get(key)
+
+    def updateValue(self, key, value):
+        self.touched.append(key)
+        self.data[key] = value
+
+    def removeKey(self, key):
+        self.data.pop(key, None)
+
+    def exists(self):
+        return "one" in self.data
+
+    def get(self):
+        return self.data.get("one")
+
+    def update(self, value):
+        self.data["one"] = value
+
+    def clear(self):
+        self.data.pop("one", None)
+
+
+class FakeHandle:
+    def __init__(self):
+        self.states = {}
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, FakeState())
+
+    getValueState = getMapState
+
+    def registerTimer(self, _):
+        pass
+
+    deleteTimer = registerTimer
+
+
+class FakeTime:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+@pytest.mark.parametrize("kind", ["clean", "sided"])
+def test_a_call_touches_due_buckets_only(kind):
+    """1,000 rows wait in 100 buckets; a watermark over 3 of them reads those 3."""
+    import pandas as pd
+
+    from eddy.streaming import processors as P
+    frame = pd.DataFrame({"timestamp": range(0, 100_000, 100), "event_id": range(1000), "amount": "1",
+                          "side": ["debit", "credit"] * 500})
+    proc = (P.CleanTimeout if kind == "clean" else P.SidedTimeout)(50, bucket_ms=1000)
+    handle = FakeHandle()
+    proc.init(handle)
+    assert list(proc.handleInputRows((7,), iter([frame]), FakeTime(0))) == []
+    buffer = handle.states["buffer"]
+    assert len(buffer.data) == 100
+    buffer.touched.clear()
+    late = pd.DataFrame({"timestamp": [99_950], "event_id": [5000], "amount": ["1"], "side": ["debit"]})
+    out = pd.concat(proc.handleInputRows((7,), iter([late]), FakeTime(2_950)))
+    assert {k for k, in buffer.touched} == {0, 1, 2, 99} and len(buffer.data) == 97
+    assert sorted(out["event_id"]) == list(range(29))
