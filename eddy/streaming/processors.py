@@ -54,6 +54,9 @@ class RunningHoldings(_Ttl):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.holding = handle.getValueState("holding", "holding bigint", self.state_ttl_ms)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.holding.update((int(initialState["holding"].iloc[-1]),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         cur = self.holding.get()
         out = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
@@ -86,6 +89,10 @@ class Portfolio(_Ttl):
         self.holdings = handle.getMapState("holdings", "user_id bigint", "holding bigint",
                                            self.state_ttl_ms)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        for user, holding in zip(initialState["user_id"].tolist(), initialState["holding"].tolist()):
+            self.holdings.updateValue((user,), (holding,))
+
     @staticmethod
     def _rows(nav_id, users, units, holdings, seqs) -> pd.DataFrame:
         value = units * holdings

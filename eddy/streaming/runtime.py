@@ -12,6 +12,7 @@ T14 state size: ``state_report`` from the query's progress; the
 
 from __future__ import annotations
 
+import json
 import os
 import time
 from collections.abc import Callable
@@ -74,11 +75,13 @@ def run_with_restart(start: Callable[[], StreamingQuery], attempts: int = 1,
             time.sleep(delay_ms / 1000.0)
 
 
-def state_report(query: StreamingQuery) -> list[dict]:
-    """Per stateful operator, rows held and bytes used, from the last batch."""
-    prog = query.lastProgress or {}
+STATE_HISTORY = ("batch_id bigint, timestamp string, input_rows bigint, operator string, rows bigint, rows_updated bigint, "
+                 "memory_bytes bigint, sst_bytes bigint")
+
+
+def _state_rows(progress: dict) -> list[dict]:
     out = []
-    for op in prog.get("stateOperators", []):
+    for op in progress.get("stateOperators", []):
         metrics = op.get("customMetrics", {})
         out.append({
             "operator": op.get("operatorName"),
@@ -90,6 +93,23 @@ def state_report(query: StreamingQuery) -> list[dict]:
     return out
 
 
+def state_report(query: StreamingQuery) -> list[dict]:
+    """Per stateful operator, rows held and bytes used, from the last batch."""
+    return _state_rows(query.lastProgress or {})
+
+
+def state_history(query: StreamingQuery, spark: SparkSession) -> DataFrame:
+    """T14 over time: the same of each recent micro-batch, as a table.
+
+    Answers how much space the state takes as the input grows.  Spark keeps the
+    last ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches.
+    """
+    names = [c.split()[0] for c in STATE_HISTORY.split(", ")]
+    rows = [{"batch_id": p["batchId"], "timestamp": p["timestamp"], "input_rows": p["numInputRows"], **r}
+            for p in query.recentProgress for r in _state_rows(p)]
+    return spark.createDataFrame([tuple(r[c] for c in names) for r in rows], STATE_HISTORY)
+
+
 def read_state(spark: SparkSession, checkpoint: str, operator_id: int = 0,
                state_var: str | None = None) -> DataFrame:
     """The rows of a query's state store, as a DataFrame (batch read)."""
@@ -120,3 +140,43 @@ def start(out: DataFrame | DataStreamWriter, spark: SparkSession, job: str,
     elif interval:
         w = w.trigger(processingTime=interval)
     return w.start()
+
+
+# ---------------------------------------------------------------------------
+# T11 with another T15: a checkpoint fixes the number of state partitions, so
+# a job that is to go on with more (or fewer) starts on a new checkpoint, with
+# the old one's state as its initial state and without the old one's input.
+
+def last_committed(spark: SparkSession, checkpoint: str) -> tuple[int, list[dict]]:
+    """The last micro-batch that a stopped query finished, and its sources' offsets.
+
+    A Kafka source's offsets are what its ``startingOffsets`` option takes (as JSON).
+    """
+    done = spark.read.format("binaryFile").load(os.path.join(checkpoint, "commits")) \
+        .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name")).where(F.col("name").rlike(r"^\d+$"))
+    batch = done.agg(F.max(F.col("name").cast("bigint")).alias("b")).first()["b"]
+    if batch is None:
+        raise ValueError(f"no micro-batch is committed in {checkpoint}")
+    log = spark.read.text(os.path.join(checkpoint, "offsets", str(batch)), wholetext=True).first()["value"]
+    return batch, [json.loads(line) if line.startswith("{") else None for line in log.strip().split("\n")[2:]]
+
+
+def _plain(path: Column) -> Column:
+    """A path without the empty authority that some of Spark's logs write (``file:///x``)."""
+    return F.regexp_replace(path, r"^(\w+):/+(?=/)", "$1:")
+
+
+def seen_files(spark: SparkSession, checkpoint: str, source: int = 0) -> DataFrame:
+    """The files of a file source that the committed micro-batches of a query have read."""
+    _, offsets = last_committed(spark, checkpoint)
+    upto = offsets[source]["logOffset"]
+    lines = spark.read.text(os.path.join(checkpoint, "sources", str(source)))
+    entry = F.from_json("value", "path string, batchId bigint")
+    return lines.where(F.col("value").startswith("{")).select(entry.alias("e")) \
+        .where(F.col("e.batchId") <= F.lit(upto)).select(_plain(F.col("e.path")).alias("path")).distinct()
+
+
+def skip_files(stream: DataFrame, seen: DataFrame) -> DataFrame:
+    """A file stream without the rows of ``seen`` files (``seen_files`` of the query it follows)."""
+    marked = stream.withColumn("_seen_path", _plain(F.col("_metadata.file_path")))
+    return marked.join(seen.select(F.col("path").alias("_seen_path")), "_seen_path", "left_anti").drop("_seen_path")
