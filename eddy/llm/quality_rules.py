@@ -1,7 +1,7 @@
 """Quality rules that vote, weighed by expectation-maximisation.
 
-Each rule looks at a document's counts and votes good (1), bad (-1) or
-abstains (0).  Nobody has labelled the documents: how often each rule
+Each rule looks at one quantity of a document and votes good (1), bad (-1)
+or abstains (0).  Nobody has labelled the documents: how often each rule
 votes either way or abstains on good and on bad documents (its accuracies,
 given the votes are independent within a class), and the share of good
 documents, are estimated by expectation-maximisation, started from "bad if
@@ -41,7 +41,9 @@ ROUNDS = 200
 # documents per 1000: they keep rare votes from having no probability.
 PRIOR = {"bad": (2.0, 1.0, 0.5), "good": (0.05, 1.0, 2.0)}
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper_words", "n_repeat_pairs")
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+OWN = ("n_upper_words", "n_repeat_pairs")
+COUNTS = BASE + OWN
 _LETTERS = np.zeros(256, bool)
 _LETTERS[65:91] = _LETTERS[97:123] = True
 _SYMBOL = np.zeros(256, bool)
@@ -108,31 +110,27 @@ def text_counts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_count, ", ".join(f"{c} bigint" for c in ("doc_id", *COUNTS)))
 
 
-def _vote(value: Column, good: Column, bad: Column) -> Column:
-    return F.when(F.col("n_words") == 0, 0).when(bad, -1).when(good, 1).otherwise(0)
+#: Percentages of the words up to which a rule votes good, and from which it votes bad.
+SHARES = {"symbols": ("n_symbols", 2, 15), "upper_words": ("n_upper_words", 5, 30), "repeated_pairs": ("n_repeat_pairs", 5, 20),
+          "repeated_windows": ("n_repeat_words", 2, 25), "duplicate_lines": ("n_dup_lines", 0, 1)}
+#: Code points of a mean word: good inside the first two, bad outside the others.
+WORD_LENGTH = (4.5, 6, 4.2, 7)
 
 
 def rules() -> dict[str, Column]:
-    """The rules' votes, from shares of the words.
+    """The rules' votes, each from a quantity that no other rule looks at.
 
-    A defect says bad; its absence says little, so most rules then abstain.
+    A rule votes good where its quantity is as in clean text, bad where it is
+    far from that, and abstains in between (and on a text without words).
     """
-    n = F.col("n_words")
+    n, chars = F.col("n_words"), F.col("word_chars")
 
-    def defect(name, percent):
-        return _vote(n, F.lit(False), 100 * F.col(name) >= percent * n)
+    def vote(good: Column, bad: Column) -> Column:
+        return F.when(n == 0, 0).when(bad, -1).when(good, 1).otherwise(0)
 
-    chars = F.col("word_chars")
-    few = 100 * (F.col("n_symbols") + F.col("n_upper_words") + F.col("n_repeat_pairs") + F.col("n_dup_lines")) <= 10 * n
-    return {
-        "symbols": defect("n_symbols", 15),
-        "upper_words": defect("n_upper_words", 30),
-        "repeated_pairs": defect("n_repeat_pairs", 20),
-        "repeated_windows": defect("n_repeat_words", 25),
-        "duplicate_lines": defect("n_dup_lines", 10),
-        "word_length": _vote(chars, (chars >= 3 * n) & (chars <= 8 * n), (chars < 2 * n) | (chars > 12 * n)),
-        "few_defects": _vote(n, few, F.lit(False)),
-    }
+    out = {rule: vote(100 * F.col(c) <= good * n, 100 * F.col(c) >= bad * n) for rule, (c, good, bad) in SHARES.items()}
+    low, high, short, long = WORD_LENGTH
+    return out | {"word_length": vote((chars >= low * n) & (chars <= high * n), (chars < short * n) | (chars > long * n))}
 
 
 def fit_votes(patterns: np.ndarray, weights: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
@@ -161,7 +159,7 @@ def posteriors(patterns: np.ndarray, chances: np.ndarray, share: float) -> np.nd
 
 
 def judge(docs: DataFrame, keep: float = KEEP) -> DataFrame:
-    """(doc_id, *COUNTS, base_failed, kept, posterior, one vote per rule) for each row."""
+    """(doc_id, *BASE, base_failed, kept, *OWN, posterior, one vote per rule) for each row."""
     spark = docs.sparkSession
     votes = rules()
     names = list(votes)
@@ -180,4 +178,4 @@ def judge(docs: DataFrame, keep: float = KEEP) -> DataFrame:
     known = spark.createDataFrame(table, schema)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
     return voted.join(F.broadcast(known), names).select(
-        "doc_id", *COUNTS, failed.alias("base_failed"), (~failed & (F.col("posterior") >= keep)).alias("kept"), "posterior", *names)
+        "doc_id", *BASE, failed.alias("base_failed"), (~failed & (F.col("posterior") >= keep)).alias("kept"), *OWN, "posterior", *names)

@@ -158,6 +158,46 @@ def test_rules_keep_clean_documents(spark):
     assert (both.kept == (both.quality == 1)).mean() > 0.97
 
 
+def test_kept_is_no_single_rule_nor_all_of_them(spark):
+    got = quality_rules.judge(spark.read.parquet(f"{SF_CHECK}/documents.parquet")).toPandas()
+    names = list(quality_rules.rules())
+    passed = ~got.base_failed
+    for name in names:
+        for says in (got[name] > 0, got[name] >= 0):
+            assert (got.kept != (passed & says)).any(), name
+    assert (got.kept != (passed & (got[names] >= 0).all(axis=1))).any()
+    assert (got.kept != (passed & (got[names].sum(axis=1) > 0))).any()       # nor a majority
+    assert list(got.columns[:8]) == ["doc_id", *quality_rules.BASE, "base_failed", "kept"]
+
+
+def test_posteriors_equal_expectation_maximisation_document_by_document(spark):
+    """The model on documents, in plain Python and without patterns, gives the same posteriors."""
+    got = quality_rules.judge(spark.read.parquet(f"{SF_SMOKE}/documents.parquet")).collect()
+    names = list(quality_rules.rules())
+    votes = [[r[n] for n in names] for r in got]
+    prior = {k: [x * len(votes) / 1000 for x in quality_rules.PRIOR[k]] for k in ("bad", "good")}
+    p = [0.1 if min(v) < 0 else 0.9 for v in votes]
+    for _ in range(quality_rules.ROUNDS):
+        chance = {}
+        for kind, weight in (("bad", [1 - x for x in p]), ("good", p)):
+            for r in range(len(names)):
+                counts = list(prior[kind])
+                for v, w in zip(votes, weight):
+                    counts[v[r] + 1] += w
+                chance[kind, r] = [c / sum(counts) for c in counts]
+        share = min(max(sum(p) / len(p), 1e-6), 1 - 1e-6)
+        before, p = p, []
+        for v in votes:
+            good, bad = share, 1 - share
+            for r, x in enumerate(v):
+                good *= chance["good", r][x + 1]
+                bad *= chance["bad", r][x + 1]
+            p.append(good / (good + bad))
+        if max(abs(x - y) for x, y in zip(p, before)) < 1e-10:
+            break
+    assert max(abs(x - r.posterior) for x, r in zip(p, got)) < 1e-8
+
+
 def test_expectation_maximisation_finds_planted_accuracies():
     rng = np.random.default_rng(0)
     good = rng.random(20000) < 0.7
