@@ -3,8 +3,8 @@
 Every operation is a DataFrame function.  A page's host and path are cut
 from its url; the longest fitting rule decides.  For the rest:
 
-* *Host edges*: the absolute links in the pages' html, counted per (from,
-  to) pair of different hosts.
+* *Host edges*: the links in the pages' html that name a host, counted per
+  (from, to) pair of different hosts.
 * *Seeds*: the pages of a host under an allow rule are its trust seed,
   those under a block rule its distrust seed.
 * Personalised PageRank carries trust from a host to the hosts it links to
@@ -14,9 +14,9 @@ from its url; the longest fitting rule decides.  For the rest:
   ``LIMIT`` per page of the host.
 
 Pages are reduced to host and pair counts before anything is shuffled by
-host, so a host with a third of all pages is no hot key; the verdicts come
-back by a join that adaptive execution broadcasts (when the host table is
-small) or splits.
+host, so a host with a third of all pages is no hot key; its verdict comes
+back by a join with the blocked hosts in which its pages are dealt to
+``SALTS`` and its row is repeated for each.
 
 Defined cases: a null url or one without ``://`` has an empty host and an
 empty path; rules never fit an empty host; a host without any evidence is
@@ -38,7 +38,10 @@ DAMPING, ROUNDS, LIMIT = 0.85, 10, 0.5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_LINK = r"""(?i)href\s*=\s*["']([^"']*)["']"""
+#: Scheme and host of a link that names its host: absolute or protocol-relative, quoted or not.
+_LINK = r"""href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^/?#"'\s>]+)"""
+# Tasks over which the pages of a host are spread when they get their verdict.
+SALTS = 32
 
 
 def host_of(url: Column) -> Column:
@@ -60,10 +63,15 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """(a, b, n): absolute links from host a to another host b."""
-    links = F.filter(F.regexp_extract_all("html", F.lit(_LINK), 1), lambda x: x.contains("://"))
+    """(a, b, n): links from host a to another host b.
+
+    A link counts if it starts with a host (``http://x/..`` or ``//x/..``), not
+    if it only has one inside (``/go?u=http://x``).
+    """
+    links = F.regexp_extract_all("html", F.lit("(?i)" + _LINK), 1)
+    host = F.translate(F.regexp_replace("link", "^[^/]*//", ""), _UPPER, _LOWER)
     return pages.select(host_of(F.col("url")).alias("a"), F.explode(links).alias("link")) \
-        .select("a", host_of(F.col("link")).alias("b")).where("a <> b and a <> '' and b <> ''") \
+        .select("a", host.alias("b")).where("a <> b and a <> '' and b <> ''") \
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -105,8 +113,11 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Da
     # a host's seed keeps (1 - damping) of its weight: measure against that
     excess = (F.coalesce("d", F.lit(0.0)) - F.coalesce("t", F.lit(0.0))) / F.lit(1 - DAMPING)
     bad = hosts.join(ranks, F.col("host") == F.col("h"), "left") \
-        .select(F.col("host").alias("h"), (excess > F.lit(LIMIT) * F.col("pages")).alias("bad"))
-    out = urls.join(bad, F.col("host") == F.col("h"), "left")
+        .select(F.col("host").alias("h"), (excess > F.lit(LIMIT) * F.col("pages")).alias("bad")).where("bad")
+    # a hot host's pages are dealt to salts; those with a rule look for nothing
+    bad = bad.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int") - F.when(F.col("found").isNull(), 0).otherwise(SALTS)
+    out = urls.withColumn("salt", salt).join(bad, (F.col("host") == F.col("h")) & (F.col("salt") == F.col("s")), "left")
     verdict = F.coalesce("found.action", F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow")))
     return out.select("page_id", "host", "path", F.col("found.rule").alias("rule"), verdict.alias("verdict"))
 
@@ -124,6 +135,7 @@ def judge_urls_sql(rules: Sequence[tuple[str, str]] = RULES) -> str:
         name, _, rest = text.partition("/")
         fits = f"(host = '{name}' or ends_with(host, '.{name}')) and starts_with(path, '/{rest}')"
         rule, action = (f"case when {fits} then '{x}' else {y} end" for x, y in ((text, rule), (what, action)))
+    link = _LINK.replace("'", "''")
     rounds = ["r0 as (select * from seeds)"]
     for k in range(ROUNDS):
         rounds.append(f"""r{k + 1} as materialized (select kind, host, sum(v) as v from (
@@ -131,8 +143,8 @@ def judge_urls_sql(rules: Sequence[tuple[str, str]] = RULES) -> str:
             select s.kind, s."to", {DAMPING} * r.v * s.share from r{k} r join steps s on r.kind = s.kind and r.host = s."from") group by 1, 2)""")
     return f"""with cut as (select page_id, {low(part('url', 1))} as host, coalesce({part('url', 2)}, '') as path, url, html from pages),
       urls as (select *, {rule} as rule, {action} as action from cut),
-      links as (select host as a, unnest(regexp_extract_all(html, 'href\\s*=\\s*["'']([^"'']*)["'']', 1, 'i')) as link from urls),
-      edges as (select a, b, count(*) as n from (select a, {low(part('link', 1))} as b from links where contains(link, '://'))
+      links as (select host as a, unnest(regexp_extract_all(html, '{link}', 1, 'i')) as link from urls),
+      edges as (select a, b, count(*) as n from (select a, {low("regexp_replace(link, '^[^/]*//', '')")} as b from links)
         where a <> b and a <> '' and b <> '' group by 1, 2),
       both_ways as (select 'trust' as kind, a as "from", b as "to", n from edges union all select 'distrust', b, a, n from edges),
       steps as materialized (select kind, "from", "to", n / sum(n) over (partition by kind, "from") as share from both_ways),

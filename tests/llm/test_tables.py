@@ -16,7 +16,7 @@ from eddy.llm.queries import ORACLE, QUERIES
 def test_urls_match_sql(spark, scratch):
     zones, langs = ["com", "net", "org"], ["en", "de", "fr"]
     rows = [(i, f"https://H{i % 7}.{zones[i % 3]}/{langs[i % 4 % 3]}/{i}",
-             "".join(f'<a HREF = "http://h{j % 7}.{zones[(i + j) % 3]}/x">' for j in range(i % 5)), "clash") for i in range(300)]
+             "".join(f'<a HREF = "http://h{j % 7}.{zones[(i + j) % 3]}/x"><a href=//h{j % 5}.net?u=http://no.org>' for j in range(i % 5)), "clash") for i in range(300)]
     rows += [(None, None, None, None), (1, "x", "", ""), (2, "HTTP://A.Net?x://y/", "", ""), (3, "a://b://c/d", None, ""),
              (4, "https://notexample.com/de/x", "", ""), (5, "https://sub.EXAMPLE.com/de/x?q#f", "", ""), (6, "://", "", ""), (6, "://", "", "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
@@ -31,6 +31,23 @@ def test_urls_match_sql(spark, scratch):
     assert host_trust.judge_urls(df.limit(0)).count() == 0
 
 
+def test_links_that_name_a_host(spark):
+    html = """<a href="http://A.com/x">, <A HREF='https://b.org?q'>, <a href=//c.net/y>, <a href=HTTP://d.com>, <a href = " //e.com#z">
+      <a href="/go?u=http://no.org">, <a href="go/http://no.org">, <a href=x//no.org>, <a href="mailto:x@no.org">, <a href="#//no.org">, <a href="///no.org">,
+      <a href="http://self.com/1">, <a href="ftp://f.com:21/2">, <a href=http://A.com>"""
+    df = spark.createDataFrame([(1, "http://self.com/", html), (2, None, html), (3, "http://self.com/2", None)], "page_id long, url string, html string")
+    got = sorted(map(tuple, host_trust.host_edges(df).collect()))
+    assert got == [("self.com", "a.com", 2), ("self.com", "b.org", 1), ("self.com", "c.net", 1), ("self.com", "d.com", 1),
+                   ("self.com", "e.com", 1), ("self.com", "f.com:21", 1)]
+
+
+def test_a_blocked_hot_host_is_dealt_to_salts(spark):
+    rows = [(i, "http://hot.com/x", '<a href="//bad.net/">') for i in range(300)] + [(1000 + i, "http://bad.net/", "") for i in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in host_trust.judge_urls(df).collect()}
+    assert len(got) == 700 and set(got.values()) == {"block"}
+
+
 def test_distrust_runs_against_links_and_trust_along(spark):
     seeds = spark.createDataFrame([("good", 10.0, 0.0), ("bad", 0.0, 10.0), ("far", 0.0, 0.0)], "host string, trust double, distrust double")
     edges = spark.createDataFrame([("good", "liked", 1), ("linker", "bad", 3), ("linker", "good", 1)], "a string, b string, n long")
