@@ -30,6 +30,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,12 +170,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 # -- in Spark ------------------------------------------------------------------
 
-_GATHERED = "kind string, block int, label int, data binary"
+_GATHERED = "kind string, block int, label int, part int, data binary"
+#: Tasks' counts of one block that are added up in one group.
+FAN_IN = 256
 
 
 def _gather(batches):
     """Feature counts of a task's training rows by block, and its sampled rows."""
     counts = np.zeros((2, DIM), np.int64)
+    part = TaskContext.get().partitionId()
     for batch in batches:
         data, off = utf8(batch.column("text"))
         sampled, of = [], []
@@ -185,22 +189,38 @@ def _gather(batches):
                 sampled.append(found.tobytes())
                 of.append(label)
         if of:
-            yield _gathered("row", [0] * len(of), of, sampled)
+            yield _gathered("row", [0] * len(of), of, part, sampled)
     for label in (0, 1):
         rows = counts[label].reshape(-1, BLOCK)
         used = np.flatnonzero(rows.any(axis=1))
         if len(used):
-            yield _gathered("count", used, [label] * len(used), [rows[k].tobytes() for k in used])
+            yield _gathered("count", used, [label] * len(used), part, [rows[k].tobytes() for k in used])
 
 
-def _gathered(kind, blocks, labels, data):
+def _gathered(kind, blocks, labels, part, data):
     return pa.RecordBatch.from_arrays([pa.array([kind] * len(labels)), pa.array(blocks, pa.int32()), pa.array(labels, pa.int32()),
-                                       pa.array(data, pa.binary())], names=["kind", "block", "label", "data"])
+                                       pa.array([part] * len(labels), pa.int32()), pa.array(data, pa.binary())],
+                                      names=["kind", "block", "label", "part", "data"])
 
 
 def _total(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.int64) for x in table.column("data").to_pylist())
-    return pa.table({"block": table.column("block")[:1], "label": table.column("label")[:1], "data": pa.array([total.tobytes()], pa.binary())})
+    total = np.zeros(BLOCK, np.int64)
+    for x in table.column("data"):
+        total += np.frombuffer(x.as_buffer(), np.int64)
+    first = {c: table.column(c)[:1] for c in ("block", "label", "part")}
+    return pa.table(first | {"data": pa.array([total.tobytes()], pa.binary())})
+
+
+def _totals(counts: DataFrame) -> DataFrame:
+    """Sums of (block, label, part, data) over the parts, ``FAN_IN`` at a time."""
+    parts = (counts.agg(F.max("part")).first()[0] or 0) + 1
+    while True:
+        parts = -(-parts // FAN_IN)
+        counts = counts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")) \
+            .groupBy("block", "label", "part").applyInArrow(_total, "block int, label int, part int, data binary")
+        if parts <= 1:
+            return counts
+        counts = written(counts, "totals")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -216,8 +236,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .join(known.withColumn("pick", draw < chance).hint("merge"), F.col("doc_id") == F.col("id")).select("text", "label", "pick")
     gathered = written(rows.mapInArrow(_gather, _GATHERED), "gathered")
     counts = np.zeros((2, DIM))
-    totals = gathered.where("kind = 'count'").select("block", "label", "data").groupBy("block", "label") \
-        .applyInArrow(_total, "block int, label int, data binary")
+    totals = _totals(gathered.where("kind = 'count'").select("block", "label", "part", "data"))
     for r in totals.collect():                           # 2 * DIM / BLOCK rows
         counts[r["label"], r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(r["data"], np.int64)
     drawn = gathered.where("kind = 'row'").select("label", "data").collect()        # about 2 * sample rows

@@ -218,6 +218,27 @@ def test_classifier_learns_held_out_quality(spark):
     assert (got.predicted == (got.score >= 0.3)).all()
 
 
+def test_counts_add_up_a_few_tasks_at_a_time(spark, monkeypatch, scratch):
+    """40 tasks, three at a time: no group gets more, and the sums are the same."""
+    rng = np.random.default_rng(1)
+    blobs = rng.integers(0, 1 << 40, (40, 2, nb_svm.BLOCK))
+    rows = [(k, label, part, blobs[part, label].tobytes()) for k in (3, 9) for part in range(40) for label in (0, 1)]
+    counts = spark.createDataFrame([(k, x, p, bytearray(b)) for k, x, p, b in rows], "block int, label int, part int, data binary").repartition(8)
+    real = nb_svm._total
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(table):
+        assert table.num_rows <= 3
+        seen.add(1)
+        return real(table)
+    monkeypatch.setattr(nb_svm, "FAN_IN", 3)
+    monkeypatch.setattr(nb_svm, "_total", watched)
+    got = {(r["block"], r["label"]): np.frombuffer(r["data"], np.int64) for r in nb_svm._totals(counts).collect()}
+    assert set(got) == {(k, x) for k in (3, 9) for x in (0, 1)}
+    assert all((v == blobs[:, x].sum(axis=0)).all() for (_, x), v in got.items())
+    assert seen.value >= 4 * (14 + 5 + 2 + 1)
+
+
 def test_classifier_never_sees_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"{SF_SMOKE}/{t}.parquet") for t in ("documents", "labels"))
     changed = labels.withColumn("quality", (1 - labels.quality * nb_svm.held_out(labels.doc_id).cast("int")).cast("int"))
