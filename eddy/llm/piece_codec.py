@@ -63,6 +63,8 @@ class Codec:
         self.spec = proto.normalizer_spec
         if not self.spec.escape_whitespaces or any(t == USER_DEFINED for _, _, t in self.pieces):
             raise ValueError("models with user-defined pieces or unescaped spaces are not supported")
+        if proto.trainer_spec.treat_whitespace_as_suffix:
+            raise ValueError("models with the marker behind words are not supported")
         self.normalizer = self._normalizer()
         self.tokenizer = Tokenizer(self._model(proto))
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)

@@ -139,6 +139,15 @@ def plain_counts(t):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t or ""), dup, len(covered)
 
 
+def test_models_that_the_codec_does_not_rebuild_raise():
+    from sentencepiece import sentencepiece_model_pb2
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        proto = sentencepiece_model_pb2.ModelProto.FromString(f.read())
+    proto.trainer_spec.treat_whitespace_as_suffix = True
+    with pytest.raises(ValueError, match="behind words"):
+        piece_codec.Codec(proto.SerializeToString())
+
+
 def test_rule_counts_match_plain_python(spark, strings):
     texts = strings + ["a\nb\na\n\n\na ", "x y z " * 20, "HELLO WORLD " * 5, None, "é" * 10 + "#"]
     df, rows = table(spark, texts)
