@@ -75,13 +75,18 @@ def give_back() -> None:
         pass
 
 
+# Of a group after which memory is given back; small ones leave little.
+LARGE_GROUP = 4 << 20
+
+
 def tidy(group: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
-    """A function of groups that gives its memory back after each one."""
+    """A function of groups that gives its memory back after each large one."""
     def run(table):
         try:
             return group(table)
         finally:
-            give_back()
+            if table.nbytes >= LARGE_GROUP:
+                give_back()
     return run
 
 
@@ -91,7 +96,8 @@ def tidy_pair(group: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.T
         try:
             return group(left, right)
         finally:
-            give_back()
+            if left.nbytes + right.nbytes >= LARGE_GROUP:
+                give_back()
     return run
 
 
