@@ -8,15 +8,15 @@ trigger bounds, and applies them as arrays.
 
 ``RunningHoldings``  A1: holding after each ownership change.
 ``Portfolio``        J2: each price revalues every holder (map state).
+``Lots``             J3: each price with every earlier lot (list state).
 ``ToggleTimeout``    J4 as coded: processing-time timer per opening.
 ``CleanTimeout``     J4 as intended, in event time: rows wait in time buckets
                      until the watermark passes them, then are taken in
                      order, so results do not depend on batch boundaries.
 ``SidedTimeout``     J4 by side, in event time, in the same buckets.
 
-Only ``ToggleTimeout`` goes row by row: it depends on the wall clock.  (J3,
-each price with every earlier lot, is a stream-stream join: see
-``jobs.lot_valuation``.)
+Only ``ToggleTimeout`` goes row by row: it depends on the wall clock.  (J3
+is a stream-stream join as well: ``jobs.lot_valuation``.)
 
 The reference's state never expires.  ``state_ttl_ms`` (holdings,
 portfolio, toggle) gives every state variable a processing-time
@@ -36,6 +36,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 HOLDINGS_SCHEMA = "nav_id bigint, user_id bigint, seq bigint, share bigint, holding bigint"
 PORTFOLIO_SCHEMA = ("user_id bigint, nav_id bigint, unit_value bigint, "
                     "new_valuation bigint, seq bigint")
+LOTS_SCHEMA = ("nav_id bigint, user_id bigint, share bigint, unit_value bigint, new_valuation bigint, "
+               "nav_seq bigint, lot_seq bigint")
 TRANSACTION_SCHEMA = "trans_id bigint, timestamp bigint, event_id bigint, amount string"
 
 
@@ -139,6 +141,46 @@ class Portfolio(_Ttl):
         pass
 
 
+class Lots(_Ttl):
+    """J3, keyed by (nav_id, bucket of users) over a tagged union: list state.
+
+    The lots of a micro-batch are appended to the list (the stored ones aren't
+    rewritten), and each price meets all lots with a smaller ``seq``, read a
+    piece at a time.  ``cells`` bounds the rows made at once.
+    """
+
+    def __init__(self, state_ttl_ms: int | None = None, cells: int = 1 << 20):
+        super().__init__(state_ttl_ms)
+        self.cells = int(cells)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.lots = handle.getListState("lots", "user_id bigint, seq bigint, share bigint", self.state_ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        is_own = (batch["kind"] == "own").to_numpy()
+        own, prices = batch[is_own], batch[~is_own].sort_values("seq")
+        if len(own):
+            self.lots.appendList(list(zip(own["user_id"].tolist(), own["seq"].tolist(), own["share"].tolist())))
+        if not len(prices) or not self.lots.exists():
+            return
+        seq, unit = prices["seq"].to_numpy(), prices["unit_value"].to_numpy()
+        stored = self.lots.get()
+        while part := list(islice(stored, max(1, self.cells // len(seq)))):
+            user, at, share = np.array(part, np.int64).T
+            first = np.searchsorted(seq, at, side="right")       # the first price that sees the lot
+            n = len(seq) - first
+            lot = np.repeat(np.arange(len(part)), n)
+            price = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+            if len(lot):
+                out = Portfolio._rows(key[0], user[lot], unit[price], share[lot], seq[price])
+                yield pd.DataFrame({"nav_id": key[0], "user_id": out["user_id"], "share": share[lot], "unit_value": out["unit_value"],
+                                    "new_valuation": out["new_valuation"], "nav_seq": seq[price], "lot_seq": at[lot]})
+
+    def close(self) -> None:
+        pass
+
+
 class _Wake:
     """One outstanding event-time timer per key, kept in value state.
 

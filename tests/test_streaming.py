@@ -84,6 +84,8 @@ def test_stream_holdings_portfolio_lots(spark, scratch):
     run_to_memory(jobs.lot_valuation(own_s, nav_s), "lv", scratch)
     exp = sorted(tuple(r) for r in holdings.lot_valuation(own, nav).collect())
     assert rows(spark, "lv") == exp
+    run_to_memory(jobs.lot_valuation_keyed(own_s, nav_s), "lvk", scratch)
+    assert rows(spark, "lvk") == exp
 
 
 def test_stream_clean_timeout(spark, scratch):
