@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from eddy.session import build_session  # noqa: E402
 from eddy.sources import tables as T  # noqa: E402
-from eddy.streaming import jobs  # noqa: E402
+from eddy.streaming import jobs, runtime  # noqa: E402
 
 TTL_MS = 86_400_000
 
@@ -51,8 +51,12 @@ def prepare(spark: SparkSession, sf_dir: str, n: int, base: str) -> dict:
     return schemas
 
 
-def run(spark: SparkSession, sf_dir: str, n: int = 4) -> tuple[dict, dict]:
-    """Time each streaming job; returns (seconds, input rows) per job."""
+def run(spark: SparkSession, sf_dir: str, n: int = 4, state: dict | None = None) -> tuple[dict, dict]:
+    """Time each streaming job; returns (seconds, input rows) per job.
+
+    ``state`` gets each job's state size after every micro-batch: [input rows,
+    rows held, bytes of RocksDB files].
+    """
     base = tempfile.mkdtemp(prefix="eddy-stream-bench-", dir="/tmp")
     s = prepare(spark, sf_dir, n, base)
 
@@ -78,6 +82,10 @@ def run(spark: SparkSession, sf_dir: str, n: int = 4) -> tuple[dict, dict]:
         q.awaitTermination()
         times[name] = round(time.perf_counter() - t0, 3)
         rows[name] = sum(p["numInputRows"] for p in q.recentProgress)
+        if state is not None:
+            sizes = runtime.state_history(q, spark).groupBy("batch_id").agg(
+                F.max("input_rows"), F.sum("rows"), F.sum("sst_bytes")).orderBy("batch_id").collect()
+            state[name] = [list(r)[1:] for r in sizes]
     return times, rows
 
 
@@ -86,11 +94,12 @@ def main() -> None:
     n = int(sys.argv[2]) if len(sys.argv) > 2 else 4
     parts = int(sys.argv[3]) if len(sys.argv) > 3 else 8
     spark = build_session("local[8]", parts, app_name="eddy-stream-bench")
-    times, rows = run(spark, sf_dir, n)
+    state: dict = {}
+    times, rows = run(spark, sf_dir, n, state)
     spark.stop()
     print(json.dumps({"metric": "stream_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "streams": times, "input_rows": rows,
-                      "files_per_stream": n, "state_partitions": parts}))
+                      "state": state, "files_per_stream": n, "state_partitions": parts}))
 
 
 if __name__ == "__main__":
