@@ -23,10 +23,11 @@ bounds the shingles that only one of them has: sizes r and s may differ in
    class are done.
 4. *Rest.*  The components of the remaining signatures are compared in tasks,
    cut into pairs of blocks above ``BLOCK_DOCS`` documents or
-   ``BLOCK_SHINGLES`` shingles.  A bit for each shingle, added modulo two,
-   bounds the difference of two sets from below and passes over most pairs
-   (none that link); pairs of one class are passed over too; the rest are
-   compared on full sets.
+   ``BLOCK_SHINGLES`` shingles.  Of a set only its parity goes there: a bit
+   for each shingle, added modulo two.  It bounds the difference of two sets
+   from below and passes over nearly all pairs that don't link (and none that
+   do); pairs of one class are passed over too.  The rest are compared on
+   full sets.
 5. The classes are the components of the links.
 
 Equal sets enter once, under their smallest doc_id.
@@ -56,7 +57,7 @@ NUMERATOR, DENOMINATOR = 90, 100      # linked: DENOMINATOR * common >= NUMERATO
 BAND_RATIO = 1.5
 COSTLY, NEAR_EVERY = 8, 16
 HEAD_SHINGLES = 1 << 18               # compared with one head in one task
-BLOCK_SHINGLES, BLOCK_DOCS = 1 << 20, 2048
+BLOCK_SHINGLES, BLOCK_DOCS = 1 << 23, 4096
 
 _U = np.uint64
 
@@ -189,12 +190,18 @@ def _with_head(table: pa.Table) -> pa.Table:
     return _links(out)
 
 
-def parities(sets: list[np.ndarray], bits: int) -> np.ndarray:
-    """``bits`` (a power of two) sums modulo two of the sets' shingles, in 64-bit words."""
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    bit = (np.concatenate(sets) & _U(bits - 1)).astype(np.int64)
-    odd = (np.bincount(row * bits + bit, minlength=len(sets) * bits) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(len(sets), bits), axis=1).view(np.uint64)
+def parity(shingle_set: np.ndarray) -> np.ndarray:
+    """A bit for each shingle, added modulo two: two to four bits a shingle, in 64-bit words."""
+    bits = 64 << (len(shingle_set) // 32).bit_length()
+    odd = np.bincount((shingle_set & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(words: np.ndarray, size: int) -> np.ndarray:
+    """The parity of the same set in fewer words."""
+    while len(words) > size:
+        words = words[:len(words) // 2] ^ words[len(words) // 2:]
+    return words
 
 
 def _smallest(sizes: np.ndarray, size: int) -> int:
@@ -202,23 +209,22 @@ def _smallest(sizes: np.ndarray, size: int) -> int:
     return int(np.searchsorted(sizes, -(-NUMERATOR * int(size) // DENOMINATOR)))
 
 
-def links_between(ids: np.ndarray, sets: list[np.ndarray], label: np.ndarray, sides: np.ndarray | None = None) -> list[tuple]:
-    """Links that join classes: of any two sets or, with ``sides``, of two on different sides.
+def near_pairs(ids: np.ndarray, words: list[np.ndarray], sizes: np.ndarray, label: np.ndarray, sides: np.ndarray | None = None):
+    """Pairs of different classes that may link: all that do, and few others.
 
-    ``label`` names the class of each set so far.
+    The parities of two sets differ in at most as many bits as the sets do in
+    shingles.  With ``sides``, only sets of different sides are paired.
     """
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    ids, sets = ids[order], [sets[i] for i in order]
+    order = np.argsort(sizes, kind="stable")
+    ids, words, sizes = ids[order], [words[i] for i in order], sizes[order]
     label = np.unique(label, return_inverse=True)[1][order]
     sides = None if sides is None else sides[order]
-    sizes = np.array([len(s) for s in sets])
     out, at = [], 0
     for i in range(1, len(ids)):
-        if i >= at:                                     # parities of the next sets, of bits by their sizes
-            bits = 64 << int(sizes[i] // 64).bit_length()
-            low = _smallest(sizes, sizes[i])
+        if i >= at:                                     # parities of the next sets, in the words of the smallest
+            base = _smallest(sizes, sizes[i])
             at = int(np.searchsorted(sizes, 2 * sizes[i], "right"))
-            base, sums = low, parities(sets[low:at], bits)
+            sums = np.stack([folded(w, len(words[base])) for w in words[base:at]])
         near = np.arange(_smallest(sizes, sizes[i]), i)
         near = near[label[near] != label[i]]
         if sides is not None:
@@ -227,24 +233,30 @@ def links_between(ids: np.ndarray, sets: list[np.ndarray], label: np.ndarray, si
             continue
         apart = np.bitwise_count(sums[near - base] ^ sums[i - base]).sum(axis=1, dtype=np.int64)
         near = near[(DENOMINATOR + NUMERATOR) * apart <= (DENOMINATOR - NUMERATOR) * (sizes[near] + sizes[i])]
-        for a in range(0, len(near), 256):
-            part = near[a:a + 256]
-            part = part[label[part] != label[i]]
-            if not len(part):
-                continue
-            common = _common([sets[j] for j in part], sets[i])
-            for j in part[_linked(common, sizes[part], sizes[i])]:
-                if label[j] != label[i]:
-                    out.append((ids[i], ids[j]))
-                    label[label == label[j]] = label[i]
+        out += [(ids[i], ids[j]) for j in near]
     return out
 
 
 def _among(table: pa.Table) -> pa.Table:
-    """Links of the sets of a block, or between two blocks."""
-    ids, sets, _ = _read(table)
+    """Pairs of a block, or of two, that may link."""
+    words = [np.frombuffer(x, np.uint64) for x in table.column("parity").to_pylist()]
     across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-    return _links(links_between(ids, sets, table.column("label").to_numpy(), table.column("block").to_numpy() if across else None))
+    return _links(near_pairs(table.column("doc_id").to_numpy(), words, table.column("n").to_numpy(), table.column("label").to_numpy(),
+                             table.column("block").to_numpy() if across else None))
+
+
+def _parities(batches):
+    for batch in batches:
+        words = [parity(np.frombuffer(x, np.uint64)).tobytes() for x in batch.column("shingles").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n"), pa.array(words, pa.binary())], names=["doc_id", "n", "parity"])
+
+
+def _confirm(batches):
+    """The pairs that link, on their full sets."""
+    for batch in batches:
+        one, two = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("one", "two"))
+        keep = [bool(_linked(_common([y], x)[0], len(x), len(y))) for x, y in zip(one, two)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _near(size_a: Column, size_b: Column) -> Column:
@@ -338,15 +350,18 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("rep").alias("head")).where("x <> y")
     rest = labelled.join(mixed.select("bucket", "head"), "bucket")
     groups = components(rest.select(F.col("rep").alias("a"), F.col("head").alias("b")))
-    members = rest.select(F.col("rep").alias("doc_id"), "n", "label").distinct().join(groups, F.col("doc_id") == F.col("node")) \
-        .select("doc_id", "n", "label", "root")
+    members = rest.select(F.col("rep").alias("doc_id"), "label").distinct().join(groups, F.col("doc_id") == F.col("node")).select("doc_id", "label", "root")
+    members = members.join(sets.mapInArrow(_parities, "doc_id bigint, n bigint, parity binary"), "doc_id")
     members = written(members, "rest")
     blocks = _tasks(members, "root", BLOCK_DOCS, BLOCK_SHINGLES)
-    dealt = members.join(blocks, "root").select("root", "doc_id", "label", "blocks", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block")).distinct()
-    full = dealt.join(sets, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "label", "block", "shingles")
-    more = written(full.groupBy("root", "i", "j").applyInArrow(_among, "a bigint, b bigint"), "more-links")
-    discard(sets, pairs, labelled, members)
+    dealt = members.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "n", "label", "block", "parity")
+    near = written(dealt.groupBy("root", "i", "j").applyInArrow(_among, "a bigint, b bigint").distinct(), "near")
+    full = near.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("one")), "a") \
+        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("two")), "b").select("a", "b", "one", "two")
+    more = written(full.mapInArrow(_confirm, "a bigint, b bigint"), "more-links")
+    discard(sets, pairs, labelled, members, near)
     return first.unionByName(more)
 
 

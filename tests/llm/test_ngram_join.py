@@ -108,11 +108,12 @@ def test_parities_never_pass_over_a_linked_pair():
     for size in (10, 70, 700, 9000):
         base = rng.integers(0, 1 << 63, 2 * size, dtype=np.uint64)
         sets = [np.unique(np.append(base[:size], rng.integers(0, 1 << 63, int(k), dtype=np.uint64))) for k in rng.integers(0, size // 8 + 2, 30)]
-        ids = np.arange(30)
-        want = {(i, j) for i in ids for j in ids if i < j and J._linked(np.intersect1d(sets[i], sets[j]).size, len(sets[i]), len(sets[j]))}
-        label = list(range(30))
-        for a, b in J.links_between(ids, sets, np.arange(30)):
-            assert (min(a, b), max(a, b)) in want
-            label = [label[a] if x == label[b] else x for x in label]
-        assert all(label[i] == label[j] for i, j in want)
-        assert not J.links_between(ids, sets, np.zeros(30, int))
+        ids, sizes = np.arange(30), np.array([len(s) for s in sets])
+        want = {(i, j) for i in ids for j in ids if i < j and J._linked(np.intersect1d(sets[i], sets[j]).size, sizes[i], sizes[j])}
+        words = [J.parity(s) for s in sets]
+        got = {(min(p), max(p)) for p in J.near_pairs(ids, words, sizes, np.arange(30))}
+        assert want <= got and len(got) <= 1.2 * len(want) + 5
+        assert not J.near_pairs(ids, words, sizes, np.zeros(30, int))
+        across = {(min(p), max(p)) for p in J.near_pairs(ids, words, sizes, np.arange(30), ids % 2)}
+        assert across == {p for p in got if p[0] % 2 != p[1] % 2}
+    assert (J.folded(J.parity(sets[0]), 4) == J.folded(J.folded(J.parity(sets[0]), 64), 4)).all()
