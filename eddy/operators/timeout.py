@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddy.operators.scan import Prefix, block_count, by_splitters, order_sample, prefix_scan, splitters
+from eddy.operators.scan import Prefix, by_splitters, order_sample, prefix_scan, splitters
 
 MODES = ("toggle", "clean", "sided")
 
@@ -40,8 +40,7 @@ def timeout_toggle(tx: DataFrame, ttl: int, key: str = "trans_id", time_col: str
                    blocks: int | None = None) -> DataFrame:
     """J4 as coded (see module doc).  One output row per firing timer."""
     tx = tx.select(key, time_col, id_col, *payload)
-    n, sample = order_sample(tx, [time_col, id_col])
-    n_blocks = blocks or block_count(n)
+    n_blocks, sample = order_sample(tx, [time_col, id_col], blocks)
     base = by_splitters(tx, [key], [time_col, id_col], bounds=splitters(sample, n_blocks))
     numbered = prefix_scan(base, [time_col, id_col], [Prefix("_n", F.lit(1).cast("bigint"))])
     # an arrival carries its record; an opening also gives a probe at its deadline
