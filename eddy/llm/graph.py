@@ -9,6 +9,10 @@ from eddy.session import discard
 from eddy.session import materialize as written
 
 
+# Edges in one file of a round's tables: many small files cost more than they spread.
+FILE_EDGES = 4096
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, root)`` for each node of an edge: root is the smallest node reachable.
 
@@ -31,11 +35,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.distinct(), "large")
+        files = 2 * mark["n"] // FILE_EDGES + 1
+        large = written(large.distinct().coalesce(files), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                                                F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s"))
-        last, e = e, written(small.select("s.u", "s.v").where("u <> v").distinct(), "edges")
+        last, e = e, written(small.select("s.u", "s.v").where("u <> v").distinct().coalesce(files), "edges")
         discard(last, large)
     roots = e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
