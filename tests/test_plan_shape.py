@@ -15,7 +15,7 @@ SHAPES = {
     "window_assign": (0, 1),
     "running_holdings": (3, 1),
     "current_holdings": (1, 1),
-    "portfolio_valuation": (13, 6),
+    "portfolio_valuation": (15, 6),
     "lot_valuation": (4, 3),
     "union_transactions": (0, 2),
     "timeout_toggle": (6, 1),
