@@ -18,17 +18,16 @@ bounds the shingles that only one of them has: sizes r and s may differ in
    set skips the dearest, as many as it has units to spare; if more are left, it
    looks up every ``NEAR_EVERY``-th segment (unless that is costly) with
    its neighbourhood and skips one more for each.  What is found stays complete.
-3. *Heads.*  Sets of a signature are compared with its smallest doc_id on full
-   sets first, never all pairs; signatures whose sets are then all in one
-   class are done.
-4. *Rest.*  The components of the remaining signatures are compared in tasks,
+3. *Parities.*  The parity of a set is a bit for each shingle, added modulo
+   two.  It bounds the difference of two sets from below and passes over
+   nearly all pairs that don't link (and none that do).  Pairs are compared by
+   parities first; full sets go only where a pair is left that needs them.
+4. *Heads.*  Sets of a signature are compared with its smallest doc_id first,
+   never all pairs; signatures whose sets are then all in one class are done.
+5. *Rest.*  The components of the remaining signatures are compared in tasks,
    cut into pairs of blocks above ``BLOCK_DOCS`` documents or
-   ``BLOCK_SHINGLES`` shingles.  Of a set only its parity goes there: a bit
-   for each shingle, added modulo two.  It bounds the difference of two sets
-   from below and passes over nearly all pairs that don't link (and none that
-   do); pairs of one class are passed over too.  The rest are compared on
-   full sets.
-5. The classes are the components of the links.
+   ``BLOCK_SHINGLES`` shingles; pairs of one class are passed over.
+6. The classes are the components of the links.
 
 Equal sets enter once, under their smallest doc_id.
 
@@ -166,6 +165,11 @@ def _linked(common, r, s):
     return DENOMINATOR * common >= NUMERATOR * (r + s - common)
 
 
+def _may_link(apart, r, s):
+    """Whether sets of these sizes that differ in ``apart`` shingles or more can be linked."""
+    return (DENOMINATOR + NUMERATOR) * apart <= (DENOMINATOR - NUMERATOR) * (r + s)
+
+
 def _read(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     ids = table.column("doc_id").to_numpy()
     sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
@@ -232,14 +236,31 @@ def near_pairs(ids: np.ndarray, words: list[np.ndarray], sizes: np.ndarray, labe
         if not len(near):
             continue
         apart = np.bitwise_count(sums[near - base] ^ sums[i - base]).sum(axis=1, dtype=np.int64)
-        near = near[(DENOMINATOR + NUMERATOR) * apart <= (DENOMINATOR - NUMERATOR) * (sizes[near] + sizes[i])]
+        near = near[_may_link(apart, sizes[near], sizes[i])]
         out += [(ids[i], ids[j]) for j in near]
     return out
 
 
+def _words(table: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in table.column("parity").to_pylist()]
+
+
+def _near_head(table: pa.Table) -> pa.Table:
+    """Rows of a group that may link with its head: all that do, and few others."""
+    ids, sizes, words = table.column("doc_id").to_numpy(), table.column("n").to_numpy(), _words(table)
+    head = table.column("head")[0].as_py()
+    keep = np.zeros(len(ids), bool)
+    for h in np.flatnonzero(ids == head):
+        for i in np.flatnonzero((ids != head) & ~keep):
+            size = min(len(words[i]), len(words[h]))
+            apart = np.bitwise_count(folded(words[i], size) ^ folded(words[h], size)).sum(dtype=np.int64)
+            keep[i] = _may_link(apart, sizes[i], sizes[h])
+    return table.filter(pa.array(keep)).select(["head", "doc_id", "n"]).rename_columns(["head", "rep", "n"])
+
+
 def _among(table: pa.Table) -> pa.Table:
     """Pairs of a block, or of two, that may link."""
-    words = [np.frombuffer(x, np.uint64) for x in table.column("parity").to_pylist()]
+    words = _words(table)
     across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
     return _links(near_pairs(table.column("doc_id").to_numpy(), words, table.column("n").to_numpy(), table.column("label").to_numpy(),
                              table.column("block").to_numpy() if across else None))
@@ -325,21 +346,33 @@ def _tasks(members: DataFrame, key: str, limit_docs: int, limit_shingles: int) -
     return size.select(key, blocks.cast("int").alias("blocks"))
 
 
+def _with_heads(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """The rows of ``table`` (doc_id, ..) for each pair (head, rep, n): by head in blocks, the head in each."""
+    blocks = _tasks(pairs, "head", 1 << 30, HEAD_SHINGLES)
+    members = pairs.join(blocks, "head").select("head", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.col("rep").alias("doc_id"))
+    members = members.unionByName(blocks.select("head", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                                                F.col("head").alias("doc_id")))
+    return members.join(table, "doc_id")
+
+
+def _of(sets: DataFrame, pairs: DataFrame, *columns: str) -> DataFrame:
+    """The sets of the documents that pairs name."""
+    return sets.join(pairs.select(F.explode(F.array(*columns)).alias("doc_id")).distinct(), "doc_id", "left_semi")
+
+
 def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(a, b): links that connect all linked sets that share a bucket of ``found``, a written table."""
     involved = found.select(F.col("rep").alias("doc_id")).distinct()
     sets = written(docs.join(involved, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "doc_id bigint, n bigint, shingles binary")
                    .where("n > 0"), "sets")
+    parities = written(sets.mapInArrow(_parities, "doc_id bigint, n bigint, parity binary"), "parities")
     # with the heads
     heads = found.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("h"))
     pairs = found.join(heads, "bucket").where("rep <> h.rep").where(_near(F.col("n"), F.col("h.n"))) \
         .select(F.col("h.rep").alias("head"), "rep", "n").distinct()
     pairs = written(pairs, "heads")
-    blocks = _tasks(pairs, "head", 1 << 30, HEAD_SHINGLES)
-    members = pairs.join(blocks, "head").select("head", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.col("rep").alias("doc_id"))
-    members = members.unionByName(blocks.select("head", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                                                F.col("head").alias("doc_id")))
-    first = members.join(sets, "doc_id").select("head", "block", "doc_id", "shingles") \
+    near = written(_with_heads(pairs, parities).groupBy("head", "block").applyInArrow(_near_head, "head bigint, rep bigint, n bigint").distinct(), "near-heads")
+    first = _with_heads(near, _of(sets, near, "head", "rep")).select("head", "block", "doc_id", "shingles") \
         .groupBy("head", "block").applyInArrow(_with_head, "a bigint, b bigint")
     first = written(first.distinct(), "first-links")
     classes = written(components(first), "first-classes")
@@ -351,17 +384,17 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     rest = labelled.join(mixed.select("bucket", "head"), "bucket")
     groups = components(rest.select(F.col("rep").alias("a"), F.col("head").alias("b")))
     members = rest.select(F.col("rep").alias("doc_id"), "label").distinct().join(groups, F.col("doc_id") == F.col("node")).select("doc_id", "label", "root")
-    members = members.join(sets.mapInArrow(_parities, "doc_id bigint, n bigint, parity binary"), "doc_id")
-    members = written(members, "rest")
+    members = written(members.join(parities, "doc_id"), "rest")
     blocks = _tasks(members, "root", BLOCK_DOCS, BLOCK_SHINGLES)
     dealt = members.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "n", "label", "block", "parity")
-    near = written(dealt.groupBy("root", "i", "j").applyInArrow(_among, "a bigint, b bigint").distinct(), "near")
-    full = near.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("one")), "a") \
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("two")), "b").select("a", "b", "one", "two")
+    near_rest = written(dealt.groupBy("root", "i", "j").applyInArrow(_among, "a bigint, b bigint").distinct(), "near-rest")
+    few = _of(sets, near_rest, "a", "b")
+    full = near_rest.join(few.select(F.col("doc_id").alias("a"), F.col("shingles").alias("one")), "a") \
+        .join(few.select(F.col("doc_id").alias("b"), F.col("shingles").alias("two")), "b").select("a", "b", "one", "two")
     more = written(full.mapInArrow(_confirm, "a bigint, b bigint"), "more-links")
-    discard(sets, pairs, labelled, members, near)
+    discard(sets, parities, pairs, near, labelled, members, near_rest)
     return first.unionByName(more)
 
 

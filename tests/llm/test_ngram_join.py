@@ -2,6 +2,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_text_and_dedup import rows, sets_of, SCHEMA
 
@@ -117,3 +118,33 @@ def test_parities_never_pass_over_a_linked_pair():
         across = {(min(p), max(p)) for p in J.near_pairs(ids, words, sizes, np.arange(30), ids % 2)}
         assert across == {p for p in got if p[0] % 2 != p[1] % 2}
     assert (J.folded(J.parity(sets[0]), 4) == J.folded(J.folded(J.parity(sets[0]), 64), 4)).all()
+
+
+def test_full_sets_meet_only_heads_they_may_link_with(spark, monkeypatch):
+    """Sets that share a signature with its head, but are far from it, are passed over by parities."""
+    rng = random.Random(5)
+    base = [f"b{rng.randrange(5000)}" for _ in range(300)]
+    docs = [(i, edited(rng, base, 1 if i % 10 == 0 else 25)) for i in range(60)]
+    size, write = {}, J.written
+
+    def counted(df, name="table", *partition_by):
+        table = write(df, name, *partition_by)
+        size[name] = table.count()
+        return table
+    monkeypatch.setattr(J, "written", counted)
+    got = sorted(map(tuple, J.join_classes(spark.createDataFrame(rows(docs), SCHEMA)).collect()), key=str)
+    assert got == brute(docs)
+    assert size["first-links"] >= 5
+    assert size["first-links"] <= size["near-heads"] <= size["heads"] / 3
+
+
+def test_parities_keep_all_links_with_a_head():
+    rng = np.random.Generator(np.random.PCG64(8))
+    for size in (10, 70, 700, 9000):
+        base = rng.integers(0, 1 << 63, 2 * size, dtype=np.uint64)
+        sets = [np.unique(np.append(base[:size], rng.integers(0, 1 << 63, int(k), dtype=np.uint64))) for k in rng.integers(0, size // 4 + 2, 40)]
+        ids = [0, 0, *range(1, 39)]                       # the head's id has two texts
+        near = J._near_head(pa.table({"head": [0] * 40, "doc_id": ids, "n": [len(s) for s in sets], "parity": [J.parity(s).tobytes() for s in sets]}))
+        want = {ids[i] for i in range(2, 40) for h in (0, 1) if J._linked(np.intersect1d(sets[h], sets[i]).size, len(sets[h]), len(sets[i]))}
+        assert want <= set(near.column("rep").to_pylist()) <= set(ids[2:])
+        assert near.num_rows <= 1.2 * len(want) + 5
